@@ -13,7 +13,7 @@ from cubeloom.functions.numbers import (
     number_column,
     safe_ratio,
     total,
-    unit_sum,
+    units,
 )
 from cubeloom.operators.normalize import cube_rows
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
@@ -23,49 +23,46 @@ def _parts(names: tuple[str, ...]) -> Column:
     return total([F.col(n) for n in names])
 
 
+def _exact_parts(names: tuple[str, ...]) -> Column:
+    return total([units(F.col(n)) for n in names])
+
+
 def ratio_columns(spec: CubeSpec = DEFAULT_SPEC) -> dict[str, Column]:
     """Ratios of sums, never sums or means of ratios."""
     return {
-        name: safe_ratio(_parts(num), _parts(den)) for name, (num, den) in spec.ratios.items()
+        name: safe_ratio(from_units(_exact_parts(num)), from_units(_exact_parts(den)))
+        for name, (num, den) in spec.ratios.items()
     }
 
 
 def difference_columns(spec: CubeSpec = DEFAULT_SPEC) -> dict[str, Column]:
+    """Gaps between a total and its parts; exact, so a match is 0 and not a rounding rest."""
     return {
-        name: _parts(plus) - _parts(minus) for name, (plus, minus) in spec.differences.items()
+        name: from_units(_exact_parts(plus) - _exact_parts(minus))
+        for name, (plus, minus) in spec.differences.items()
     }
 
 
-def _sum_to_cube(rows: DataFrame, spec: CubeSpec) -> DataFrame:
-    """Group rows by the key; sums and differences stay exact until the last projection."""
-    unit = rows.groupBy(*spec.keys).agg(*[unit_sum(F.col(c)).alias(c) for c in spec.sums])
-
-    def exact(names: tuple[str, ...]) -> Column:
-        return from_units(_parts(names))
-
-    return unit.select(
+def sum_to_cube(rows: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """Group numeric rows by the key; null is a group, an all-null sum stays null."""
+    sums = rows.groupBy(*spec.keys).agg(*[exact_sum(F.col(c)).alias(c) for c in spec.sums])
+    return sums.select(
         *spec.keys,
-        *[from_units(F.col(c)).alias(c) for c in spec.sums],
-        *[
-            safe_ratio(exact(num), exact(den)).alias(name)
-            for name, (num, den) in spec.ratios.items()
-        ],
-        *[
-            from_units(_parts(plus) - _parts(minus)).alias(name)
-            for name, (plus, minus) in spec.differences.items()
-        ],
+        *spec.sums,
+        *[col.alias(name) for name, col in ratio_columns(spec).items()],
+        *[col.alias(name) for name, col in difference_columns(spec).items()],
     )
 
 
 def cube_aggregate(raw: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Raw rows to the cube: normalise, cast, derive, group (null is a group), ratios, differences."""
-    return _sum_to_cube(cube_rows(raw, spec), spec)
+    return sum_to_cube(cube_rows(raw, spec), spec)
 
 
 def merge_cubes(*cubes: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Partial cubes to one; columns are matched by name and ratios recomputed from the sums."""
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cubes)
-    return _sum_to_cube(union.select(*spec.keys, *spec.sums), spec)
+    return sum_to_cube(union.select(*spec.keys, *spec.sums), spec)
 
 
 def with_run_columns(cube: DataFrame, source_label: str, timestamp: str) -> DataFrame:

@@ -1,0 +1,4 @@
+from cubeloom.workload import cube_queries
+from cubeloom.workload.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "cube_queries"]
