@@ -1,4 +1,4 @@
-from cubeloom.workload import cube_queries
+from cubeloom.workload import audit_queries, cube_queries
 from cubeloom.workload.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "cube_queries"]
+__all__ = ["ORACLES", "QUERIES", "audit_queries", "cube_queries"]
