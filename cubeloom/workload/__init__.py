@@ -1,4 +1,11 @@
-from cubeloom.workload import audit_queries, cube_queries
+from cubeloom.workload import audit_queries, cube_queries, facts_queries, history_queries
 from cubeloom.workload.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "audit_queries", "cube_queries"]
+__all__ = [
+    "ORACLES",
+    "QUERIES",
+    "audit_queries",
+    "cube_queries",
+    "facts_queries",
+    "history_queries",
+]
