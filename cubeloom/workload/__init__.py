@@ -1,4 +1,10 @@
-from cubeloom.workload import audit_queries, cube_queries, facts_queries, history_queries
+from cubeloom.workload import (
+    audit_queries,
+    cube_queries,
+    facts_queries,
+    file_queries,
+    history_queries,
+)
 from cubeloom.workload.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -7,5 +13,6 @@ __all__ = [
     "audit_queries",
     "cube_queries",
     "facts_queries",
+    "file_queries",
     "history_queries",
 ]
