@@ -49,7 +49,7 @@ def exact_sum(col: Column) -> Column:
 
 def safe_ratio(num: Column, den: Column) -> Column:
     """Null for a zero or missing denominator."""
-    return num / F.nullif(den, F.lit(0.0))
+    return F.when(den != 0, num / den)
 
 
 def total(columns: list[Column]) -> Column:

@@ -16,9 +16,15 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
 
+def has_odd_edge(col: Column) -> Column:
+    """Whether the first or last character is not printable ASCII: a cheap test, true for all
+    blanks.  Rules use it to leave clean values, nearly all of them, untouched."""
+    return ~(col.between("!", "~") & F.substring(col, -1, 1).between("!", "~"))
+
+
 def blank_to_null(col: Column) -> Column:
     """Exactly '' becomes null; blanks of any other width stay."""
-    return F.nullif(col, F.lit(""))
+    return F.when(col != "", col)
 
 
 def tokens_to_null(col: Column, tokens: tuple[str, ...]) -> Column:
@@ -26,11 +32,16 @@ def tokens_to_null(col: Column, tokens: tuple[str, ...]) -> Column:
 
 
 def blank_to_label(col: Column, label: str) -> Column:
-    return F.coalesce(F.nullif(strip(col), F.lit("")), F.lit(label))
+    stripped = strip(col)
+    labelled = F.coalesce(F.when(stripped != "", stripped), F.lit(label))
+    return F.when(has_odd_edge(col), labelled).otherwise(F.coalesce(col, F.lit(label)))
 
 
 def clean_sector_code(col: Column) -> Column:
-    return F.coalesce(F.regexp_replace(strip(col), DECIMAL_LOOKING_INTEGER, "$1"), F.lit(""))
+    """Trimmed code; a decimal-looking integer loses its zeros, null becomes ''."""
+    suspect = has_odd_edge(col) | (col.endswith("0") & col.contains("."))
+    cleaned = F.regexp_replace(strip(col), DECIMAL_LOOKING_INTEGER, "$1")
+    return F.when(suspect, cleaned).otherwise(F.coalesce(col, F.lit("")))
 
 
 def has_defensive_decimal(col: Column) -> Column:
@@ -38,7 +49,8 @@ def has_defensive_decimal(col: Column) -> Column:
 
 
 def strip_defensive_decimal(col: Column) -> Column:
-    return F.regexp_replace(col, DEFENSIVE_DECIMAL, "$1")
+    repaired = F.regexp_replace(col, DEFENSIVE_DECIMAL, "$1")
+    return F.when(col.endswith(".0"), repaired).otherwise(col)
 
 
 def comparable_text(col: Column) -> Column:

@@ -13,6 +13,7 @@ from cubeloom.functions.numbers import (
     number_column,
     safe_ratio,
     total,
+    unit_sum,
     units,
 )
 from cubeloom.operators.normalize import cube_rows
@@ -45,12 +46,18 @@ def difference_columns(spec: CubeSpec = DEFAULT_SPEC) -> dict[str, Column]:
 
 def sum_to_cube(rows: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Group numeric rows by the key; null is a group, an all-null sum stays null."""
-    sums = rows.groupBy(*spec.keys).agg(*[exact_sum(F.col(c)).alias(c) for c in spec.sums])
+    sums = rows.groupBy(*spec.keys).agg(*[unit_sum(F.col(c)).alias(c) for c in spec.sums])
     return sums.select(
         *spec.keys,
-        *spec.sums,
-        *[col.alias(name) for name, col in ratio_columns(spec).items()],
-        *[col.alias(name) for name, col in difference_columns(spec).items()],
+        *[from_units(F.col(c)).alias(c) for c in spec.sums],
+        *[
+            safe_ratio(from_units(_parts(num)), from_units(_parts(den))).alias(name)
+            for name, (num, den) in spec.ratios.items()
+        ],
+        *[
+            from_units(_parts(plus) - _parts(minus)).alias(name)
+            for name, (plus, minus) in spec.differences.items()
+        ],
     )
 
 

@@ -82,18 +82,25 @@ def label_dims(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
 
 
 def key_expression(df: DataFrame, key: str, spec: CubeSpec = DEFAULT_SPEC) -> Column:
-    """All rules of one key column in one expression: repair, null, then label."""
+    """All rules of one key column in one small expression.
+
+    Equal to repair, blank to null, then label, one after the other.  It is
+    written against the raw column so that generated code stays short enough
+    for the JIT compiler; nested rules would repeat each other's code.
+    """
     if key == spec.period:
         return text.blank_to_null(F.col(key)).alias(key)
     col = _text_or_null(df, spec.raw_name[key])
-    if spec.raw_name[key] in spec.integer_code_dims:
-        col = text.strip_defensive_decimal(col)
-    col = text.blank_to_null(col)
-    if key in spec.label_dims:
-        col = text.blank_to_label(col, spec.blank_label)
     if key in spec.sector_dims:
-        col = text.clean_sector_code(col)
-    return col.alias(key)
+        # this rule covers all the defensive-decimal repair does
+        out = text.clean_sector_code(col)
+    elif key in spec.label_dims:
+        out = text.blank_to_label(col, spec.blank_label)
+    elif spec.raw_name[key] in spec.integer_code_dims:
+        out = F.when(col != "", text.strip_defensive_decimal(col))
+    else:
+        out = text.blank_to_null(col)
+    return out.alias(key)
 
 
 def derived_sums(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:

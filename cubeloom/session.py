@@ -8,6 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Worth setting on any cluster: wide projections beyond the size HotSpot compiles
+# (8000 bytes) are better split into small methods than fused and interpreted.
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
 _fallback: dict[str, str] = {}
 
 
@@ -19,10 +27,9 @@ def local_session(cpus: int | str = 8, app: str = "cubeloom", **conf: str) -> Sp
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in conf.items():
+    for key, value in (RECOMMENDED_CONF | conf).items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
@@ -52,3 +59,14 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-distribute a scan that has fewer splits than the cluster has cores.
+
+    A small file with a single row group is one task whatever its number of
+    columns.  Large tables have more splits than cores and stay as they are.
+    """
+    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(*keys)
