@@ -18,6 +18,7 @@ from cubeloom.functions.numbers import (
     unit_sum,
 )
 from cubeloom.functions.text import WHITESPACE, strip
+from cubeloom.operators.history import period_rollup
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 # ---------------------------------------------------------------- summaries
@@ -303,51 +304,44 @@ def light_period_audit(
     (default: the period column itself).  ``expected`` adds periods that may
     have no rows at all.
     """
-    ratios = [c for c in cube.columns if c.startswith(spec.ratio_prefix)]
-    required = dict.fromkeys((*spec.keys, *spec.measures))
-    missing = [c for c in required if c not in cube.columns]
-    forbidden = [c for c in spec.forbidden_columns if c in cube.columns]
-    layout = [f"missing_columns:{','.join(missing)}"] if missing else []
-    layout += [f"forbidden_column:{c}" for c in forbidden]
-    present_keys = [k for k in spec.keys if k in cube.columns]
-    unit = declared or spec.period
+    return audit_of(period_rollup(cube, declared, spec), cube.columns, expected, spec)
 
-    def infinite(name: str) -> Column:
-        return F.abs(number_column(cube, name)) == F.lit(float("inf"))
 
-    # one row per key first: duplicates need it and it keeps the period level small
-    per_key = cube.groupBy(F.col(unit).alias("periodo"), *present_keys).agg(
-        F.count("*").alias("cnt"), *[F.count_if(infinite(c)).alias(c) for c in ratios]
-    )
-    per_period = per_key.groupBy("periodo").agg(
-        F.sum("cnt").alias("filas"),
-        F.sum(F.when(F.col("cnt") > 1, F.col("cnt")).otherwise(0)).alias("dup"),
-        # one entry per month found in the delivery
-        F.array_sort(F.collect_set(spec.period)).alias("found"),
-        *[F.sum(c).alias(c) for c in ratios],
-    )
+def audit_of(
+    rollup: DataFrame,
+    columns: list[str],
+    expected: DataFrame | None = None,
+    spec: CubeSpec = DEFAULT_SPEC,
+) -> DataFrame:
+    """The audit from a period rollup and the column names of the cube it came from."""
+    ratios = [c for c in columns if c.startswith(spec.ratio_prefix)]
+    missing = [c for c in dict.fromkeys((*spec.keys, *spec.measures)) if c not in columns]
+    layout = [f"missing_columns:{','.join(missing)}"] if missing else []
+    layout += [f"forbidden_column:{c}" for c in spec.forbidden_columns if c in columns]
+    full_key = all(k in columns for k in spec.keys)
     if expected is not None:
         wanted = expected.select(F.col(expected.columns[0]).alias("periodo")).distinct()
-        per_period = wanted.join(per_period, "periodo", "left")
-    other = F.size(F.array_remove("found", F.col("periodo"))) + F.when(
-        F.array_contains("found", F.col("periodo")), 0
-    ).otherwise(1)
-    full_key = len(present_keys) == len(spec.keys)
+        rollup = wanted.join(rollup, "periodo", "left")
+    as_declared = F.size("found").eqNullSafe(1) & F.array_contains("found", F.col("periodo"))
     errors = F.array_compact(
         F.array(
             *[F.lit(e) for e in layout],
             F.when(
-                other > 0, F.concat(F.lit("unexpected_periods:"), F.array_join("found", ","))
+                ~as_declared & F.lit(spec.period in columns),
+                F.concat(F.lit("unexpected_periods:"), F.array_join("found", ",")),
             ),
             F.when(
-                (F.col("dup") > 0) & F.lit(full_key),
-                F.concat(F.lit("duplicate_analytic_keys:"), F.col("dup").cast("string")),
+                (F.col("repetidas") > 0) & F.lit(full_key),
+                F.concat(F.lit("duplicate_analytic_keys:"), F.col("repetidas").cast("string")),
             ),
-            *[F.when(F.col(c) > 0, F.lit(f"infinite_{spec.ratio_prefix[:-1]}:{c}")) for c in ratios],
+            *[
+                F.when(F.col(f"inf_{c}") > 0, F.lit(f"infinite_{spec.ratio_prefix[:-1]}:{c}"))
+                for c in ratios
+            ],
         )
     )
     errors = F.when(F.col("filas").isNull(), F.array(F.lit("empty_dataframe"))).otherwise(errors)
-    return per_period.select(
+    return rollup.select(
         "periodo",
         F.coalesce("filas", F.lit(0)).alias("filas"),
         F.when(F.size(errors) > 0, "failed").otherwise("success").alias("status"),

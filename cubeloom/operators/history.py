@@ -11,25 +11,54 @@ from cubeloom.functions.numbers import UNITS_PER_ONE, number_column, unit_sum
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 
-def period_fingerprint(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
-    """Row count, sums, distinct keys and a SHA-256 of them, for every period.
+def period_rollup(
+    cube: DataFrame, declared: str | None = None, spec: CubeSpec = DEFAULT_SPEC
+) -> DataFrame:
+    """Everything a fingerprint and a period audit need, one row per period.
 
-    Rows are combined per analytic key first: that gives the distinct keys
-    without a second pass and spreads a month that holds most of the rows.
+    Rows are combined per analytic key first: that finds repeated keys, counts
+    distinct ones without a second pass and spreads a month that holds most of
+    the rows.  ``declared`` names the column with the period a row was delivered
+    for (default: the period column itself).  Unused columns are pruned.
     """
+    keys = [k for k in spec.keys if k in cube.columns]
+    ratios = [c for c in cube.columns if c.startswith(spec.ratio_prefix)]
     measures = (*spec.fingerprint_counts, *spec.fingerprint_amounts)
-    per_key = cube.groupBy(*spec.keys).agg(
-        F.count("*").alias("row_count"),
+    infinite = {f"inf_{c}": F.abs(number_column(cube, c)) == F.lit(float("inf")) for c in ratios}
+
+    unit = [] if declared is None else [F.col(declared).alias("periodo")]
+    per_key = cube.groupBy(*unit, *keys).agg(
+        F.count("*").alias("cnt"),
         *[unit_sum(number_column(cube, m)).alias(m) for m in measures],
+        *[F.count_if(c).alias(n) for n, c in infinite.items()],
+    )
+    if declared is None:
+        per_key = per_key.withColumn("periodo", F.col(spec.period))
+    found = F.col(spec.period) if spec.period in keys else F.lit(None).cast("string")
+    # two steps, so that the period lists are built from a handful of rows
+    pairs = per_key.groupBy("periodo", found.alias("_found")).agg(
+        F.sum("cnt").alias("filas"),
+        F.count("*").alias("llaves"),
+        F.sum(F.when(F.col("cnt") > 1, F.col("cnt")).otherwise(0)).alias("repetidas"),
+        *[F.sum(F.col(m).cast("decimal(38,0)")).alias(m) for m in measures],
+        *[F.sum(n).alias(n) for n in infinite],
     )
-    exact = per_key.groupBy(spec.period).agg(
-        F.sum("row_count").alias("row_count"),
-        F.count("*").alias("distinct_analytic_keys"),
-        *[
-            F.coalesce(F.sum(F.col(m).cast("decimal(38,0)")), F.lit(0)).alias(m) for m in measures
-        ],
+    return pairs.groupBy("periodo").agg(
+        F.sum("filas").alias("filas"),
+        F.sum("llaves").alias("llaves"),
+        F.sum("repetidas").alias("repetidas"),
+        F.array_sort(F.collect_set("_found")).alias("found"),
+        *[F.coalesce(F.sum(m), F.lit(0)).cast("decimal(38,0)").alias(m) for m in measures],
+        *[F.sum(n).alias(n) for n in infinite],
     )
 
+
+def period_fingerprint(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """Row count, sums, distinct keys and a SHA-256 of them, for every period."""
+    return fingerprint_of(period_rollup(cube, spec=spec), spec)
+
+
+def fingerprint_of(rollup: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     def exact_value(name: str) -> Column:
         return (F.col(name) * F.lit(Decimal(1) / UNITS_PER_ONE)).cast("decimal(38,4)")
 
@@ -40,13 +69,13 @@ def period_fingerprint(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFr
         return exact_value(name).cast("string")
 
     fields = {
-        spec.period: F.col(spec.period),
-        "row_count": F.col("row_count"),
-        "distinct_analytic_keys": F.col("distinct_analytic_keys"),
+        spec.period: F.col("periodo"),
+        "row_count": F.col("filas"),
+        "distinct_analytic_keys": F.col("llaves"),
         **{f"sum_{m}": whole(m) for m in spec.fingerprint_counts},
         **{f"sum_{m}": amount(m) for m in spec.fingerprint_amounts},
     }
-    summary = exact.select(*[expr.alias(name) for name, expr in fields.items()])
+    summary = rollup.select(*[expr.alias(name) for name, expr in fields.items()])
     payload = F.to_json(F.struct(*sorted(fields)), {"ignoreNullFields": "false"})
     return summary.withColumn("fingerprint_sha256", F.sha2(payload, 256))
 
