@@ -16,6 +16,7 @@ from cubeloom.functions.numbers import exact_sum
 from cubeloom.functions.text import strip
 from cubeloom.operators.history import latest_per_key
 from cubeloom.operators.normalize import fact_defaults
+from cubeloom.session import materialize
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 
@@ -23,6 +24,15 @@ def _periods(df: DataFrame, spec: CubeSpec) -> DataFrame:
     return df.select(spec.period).distinct()
 
 
+def period_list(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """The periods of a large table, written out once.
+
+    Only the period column is read.  The written list has a known size, so a
+    join of wide rows to it is planned without a shuffle of those rows.
+    """
+    return materialize(_periods(df, spec), "periods")
+
+
 # ---------------------------------------------------------------- loads
 
 
@@ -34,7 +44,7 @@ def rows_to_stage(
 ) -> DataFrame:
     """Rows of periods that have a control row and nothing in staging yet."""
     return staged_form.join(_periods(control, spec), spec.period, "left_semi").join(
-        _periods(staging, spec), spec.period, "left_anti"
+        period_list(staging, spec), spec.period, "left_anti"
     )
 
 
@@ -78,7 +88,7 @@ def rows_to_promote(
 ) -> DataFrame:
     """Staged rows with fact defaults, for controlled periods without facts."""
     eligible = staging.join(_periods(control, spec), spec.period, "left_semi").join(
-        _periods(facts, spec), spec.period, "left_anti"
+        period_list(facts, spec), spec.period, "left_anti"
     )
     return fact_defaults(eligible.select(*staging.columns), spec)
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cubeloom.functions.numbers import from_units, number_column, unit_sum
+from cubeloom.functions.numbers import from_units, number_column, unit_sum, units
 from cubeloom.functions.text import comparable_text, strip
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
@@ -68,17 +68,27 @@ def column_profile(df: DataFrame, top: int = 5) -> DataFrame:
 
     raw = _as_text(df, columns).groupBy("columna", "valor").agg(F.count("*").alias("n"))
     is_text = F.col("columna").isin(*texts) if texts else F.lit(False)
+    is_number = F.col("columna").isin(*numbers) if numbers else F.lit(False)
     comparable = F.when(is_text, comparable_text(F.col("valor"))).otherwise(F.col("valor"))
+    # numbers come back from their text exactly, so one scan serves all columns
+    number = F.when(is_number, F.col("valor").try_cast("double"))
     by_value = raw.groupBy("columna", comparable.alias("norm")).agg(
         F.count("valor").alias("raw_values"),
         F.sum("n").alias("n"),
         F.sum(F.when(F.col("valor").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+        F.min(number).alias("min"),
+        F.max(number).alias("max"),
+        F.sum(units(number) * F.col("n")).alias("units"),
     )
+    filled = F.sum("n") - F.sum("nulls")
     profile = by_value.groupBy("columna").agg(
         F.sum("n").alias("_rows"),
         F.sum("nulls").alias("valores_nulos"),
         F.sum("raw_values").alias("nunique_raw"),
         F.count("norm").alias("_norm"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        F.round(from_units(F.sum("units")) / F.when(filled > 0, filled), 2).alias("media"),
     )
     order = Window.partitionBy("columna").orderBy(
         F.col("n").desc(), F.col("norm").asc_nulls_first()
@@ -102,20 +112,6 @@ def column_profile(df: DataFrame, top: int = 5) -> DataFrame:
         )
     )
     out = profile.join(best, "columna", "left")
-    if numbers:
-        stats = df.agg(
-            *[F.min(c).cast("double").alias(f"min__{c}") for c in numbers],
-            *[F.max(c).cast("double").alias(f"max__{c}") for c in numbers],
-            *[
-                F.round(from_units(unit_sum(number_column(df, c))) / F.count(c), 2).alias(
-                    f"media__{c}"
-                )
-                for c in numbers
-            ],
-        )
-        out = out.join(_stack(stats, numbers, ["min", "max", "media"]), "columna", "left")
-    else:
-        out = out.withColumns({c: F.lit(None).cast("double") for c in ("min", "max", "media")})
     return out.select(
         "columna",
         "valores_nulos",

@@ -243,7 +243,7 @@ def light_period_audit(spark, sf):
     rows = rows.withColumns({"sbc_total": ratio, "declared": F.col(P)})
     twice = rows.filter((F.col("ta") > 49) & F.col(P).startswith("1998-0"))
     foreign = rows.filter(F.col(P) == "1999-11-30").withColumn("declared", F.lit("1999-12-31"))
-    expected = rows.select("declared").unionByName(
+    expected = star_cube(spark, sf, (P,)).select(F.col(P).alias("declared")).unionByName(
         spark.range(1).select(F.lit("1994-12-31").alias("declared"))
     )
     delivered = rows.unionByName(twice).unionByName(foreign)
