@@ -248,6 +248,32 @@ def accepted_values(df: DataFrame, column: str, allowed: tuple[str, ...]) -> Dat
     )
 
 
+def fact_constraint_violations(facts: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """What the facts may not contain: repeated keys and flags outside the allowed set.
+
+    One row per period and kind with the number of rows concerned; both kinds
+    come from the same per-key counts.
+    """
+    flag = F.col(spec.flag)
+    kinds = F.array(
+        F.struct(
+            F.lit("unique_analytic_key").alias("constraint"),
+            F.when(F.col("cnt") > 1, F.col("cnt")).otherwise(0).alias("filas"),
+        ),
+        F.struct(
+            F.lit(f"accepted_{spec.flag}").alias("constraint"),
+            F.when(~flag.isin(*spec.flag_values), F.col("cnt")).otherwise(0).alias("filas"),
+        ),
+    )
+    return (
+        key_counts(facts, spec)
+        .select(spec.period, F.inline(kinds))
+        .filter("filas > 0")
+        .groupBy(spec.period, "constraint")
+        .agg(F.sum("filas").alias("filas"))
+    )
+
+
 def whitespace_audit(df: DataFrame, column: str) -> DataFrame:
     """Every distinct value with its length, blank and control-character marks and count."""
     value = F.col("value")

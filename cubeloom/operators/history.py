@@ -80,6 +80,57 @@ def fingerprint_of(rollup: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFram
     return summary.withColumn("fingerprint_sha256", F.sha2(payload, 256))
 
 
+def aggregate_pre_checks(
+    candidate: DataFrame,
+    period: str,
+    columns: list[str] | None = None,
+    spec: CubeSpec = DEFAULT_SPEC,
+) -> DataFrame:
+    """Errors of a delivery that should hold exactly one requested period, in one row.
+
+    ``columns`` are those of the history, in order, when the delivery is to be
+    appended.  A missing column ends the check, as nothing else can be said.
+    """
+    required = dict.fromkeys((*spec.keys, *spec.fingerprint_counts, *spec.fingerprint_amounts))
+    missing = [c for c in required if c not in candidate.columns]
+    if missing:
+        message = f"Aggregate file is missing required columns: {', '.join(missing)}"
+        return candidate.sparkSession.range(1).select(
+            F.lit(period).alias(spec.period),
+            F.lit(None).cast("bigint").alias("row_count"),
+            F.lit(message).alias("errors"),
+        )
+    header = F.lit(True)
+    for name in candidate.columns:
+        header = header & F.col(name).cast("string").eqNullSafe(name)
+    found = (
+        candidate.groupBy(F.col(spec.period).alias("p"))
+        .agg(F.count("*").alias("n"), F.count_if(header).alias("headers"))
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+            F.coalesce(F.sum("headers"), F.lit(0)).alias("headers"),
+            F.array_sort(F.collect_set("p")).alias("periods"),
+        )
+    )
+    shown = F.when(F.size("periods") == 0, "<empty>").otherwise(F.array_join("periods", ", "))
+    other = ~(F.array_join("periods", ",") == period)
+    checks = [
+        F.when(F.size("periods") > 1, "aggregate contains multiple periods").when(
+            other,
+            F.concat(F.lit("aggregate period does not match requested period: "), shown),
+        ),
+        F.when(F.col("headers") > 0, "aggregate file contains a duplicated header row"),
+        F.when(F.col("row_count") == 0, "aggregate file has no data rows"),
+    ]
+    if columns is not None and list(columns) != candidate.columns:
+        checks.append(F.lit("aggregate and concentrado columns do not match exactly"))
+    return found.select(
+        F.lit(period).alias(spec.period),
+        "row_count",
+        F.array_join(F.array_compact(F.array(*checks)), ";").alias("errors"),
+    )
+
+
 def compare_periods(
     candidate: DataFrame,
     existing: DataFrame | None,
@@ -242,14 +293,6 @@ def rows_to_insert(
     return candidate.join(history_periods.select(spec.period).distinct(), spec.period, "left_anti")
 
 
-def repeated_header_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat the header: every value equals its column's name."""
-    condition = F.lit(True)
-    for name in df.columns:
-        condition = condition & F.col(name).cast("string").eqNullSafe(name)
-    return df.filter(condition)
-
-
 def publish_post_checks(
     before: DataFrame,
     inserted: DataFrame,

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubeloom.operators.audit import audit_of
+from cubeloom.operators.audit import audit_of, fact_constraint_violations
+from cubeloom.operators.facts import rows_to_promote, rows_to_stage
 from cubeloom.operators.history import (
     compare_periods,
     fingerprint_of,
@@ -18,7 +19,9 @@ from cubeloom.operators.history import (
     publish_post_checks,
     run_status,
 )
+from cubeloom.operators.normalize import staging_projection
 from cubeloom.session import materialize
+from cubeloom.sources.schemas import empty_table
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 PARQUET_CODECS = ("zstd", "snappy")
@@ -61,6 +64,23 @@ def read_period_table(
     return table if period is None else table.filter(F.col(spec.period) == period)
 
 
+def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, or None while nothing was written to its path."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def write_periods(rows: DataFrame, path: str, spec: CubeSpec = DEFAULT_SPEC) -> None:
+    """Write whole periods; those of ``rows`` are replaced, so a repeated attempt adds nothing."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "compression", "zstd"
+    ).partitionBy(spec.period).parquet(path)
+
+
 @dataclass
 class PeriodHistory:
     """An append-only table of periods below ``path``.
@@ -85,12 +105,7 @@ class PeriodHistory:
 
     def commits(self) -> DataFrame | None:
         """Committed periods with the fingerprint fields, or None before the first publish."""
-        try:
-            return self.spark.read.parquet(self.commits_path)
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+        return read_if_written(self.spark, self.commits_path)
 
     def read(self, period: str | None = None) -> DataFrame:
         commits = self.commits()
@@ -124,9 +139,7 @@ class PeriodHistory:
         if not new.isEmpty():
             # the staged files are laid out by period already, so this is a plain copy
             rows = staged.join(new, spec.period, "left_semi").select(*candidate.columns)
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
-                "compression", "zstd"
-            ).partitionBy(spec.period).parquet(self.data_path)
+            write_periods(rows, self.data_path, spec)
             prints.join(new, spec.period, "left_semi").select(*prints.columns).coalesce(
                 1
             ).write.mode("append").parquet(self.commits_path)
@@ -159,3 +172,48 @@ class PeriodHistory:
             spec=spec,
         )
         return publish_post_checks(before, inserted, after, again, spec)
+
+
+class ConstraintError(ValueError):
+    """Rows that the facts may not contain; nothing was written."""
+
+
+@dataclass
+class FactTables:
+    """Staging and facts below ``path``, both partitioned by period and insert-only."""
+
+    spark: SparkSession
+    path: str
+    spec: CubeSpec = DEFAULT_SPEC
+
+    def _read(self, name: str) -> DataFrame:
+        schema = empty_table(self.spark, name, self.spec)
+        if read_if_written(self.spark, f"{self.path}/{name}") is None:
+            return schema
+        return (
+            self.spark.read.schema(schema.schema)
+            .parquet(f"{self.path}/{name}")
+            .select(*schema.columns)
+        )
+
+    def staging(self) -> DataFrame:
+        return self._read("staging")
+
+    def facts(self) -> DataFrame:
+        return self._read("facts")
+
+    def load_staging(self, source: DataFrame, control: DataFrame, run_id: str) -> None:
+        """Stage the periods of ``source`` that have a control row and are not staged yet."""
+        rows = staging_projection(source, run_id, self.spec)
+        new = rows_to_stage(rows, control, self.staging(), self.spec)
+        write_periods(by_period(new, self.spec), f"{self.path}/staging", self.spec)
+
+    def promote(self, control: DataFrame) -> None:
+        """Promote staged periods without facts, or raise and write nothing."""
+        rows = rows_to_promote(self.staging(), control, self.facts(), self.spec)
+        broken = fact_constraint_violations(rows, self.spec)
+        # at most two rows per period
+        found = [f"{r[0]} {r[1]}: {r[2]} rows" for r in broken.orderBy(*broken.columns).collect()]
+        if found:
+            raise ConstraintError("; ".join(found))
+        write_periods(rows, f"{self.path}/facts", self.spec)

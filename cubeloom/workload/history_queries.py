@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubeloom.operators import history as H
-from cubeloom.operators.audit import light_period_audit
+from cubeloom.operators.audit import fact_constraint_violations, light_period_audit
 from cubeloom.operators.cube import cube_aggregate
+from cubeloom.operators.normalize import fact_defaults
 from cubeloom.session import fresh_path
 from cubeloom.sources.tables import PeriodHistory, read_period_table, write_parquet
 from cubeloom.spec import DEFAULT_SPEC as SPEC
@@ -149,6 +153,67 @@ def run_status(spark, sf):
     return H.run_status(H.period_results(_comparison(spark, sf, requested), audit))
 
 
+_DELIVERED = {
+    "one": f"SELECT {P} FROM norm WHERE {P} = '1998-06-30'",
+    "two": f"SELECT {P} FROM norm WHERE {P} LIKE '1998-%'",
+}
+
+
+@query(
+    "aggregate_pre_checks",
+    over(
+        "norm",
+        f"""SELECT '1998-06-30' AS {P}, {big("(SELECT count(*) FROM one)", "row_count")}, '' AS errors
+        UNION ALL SELECT '1998-07-31', (SELECT count(*) FROM one),
+        'aggregate period does not match requested period: 1998-06-30'
+        UNION ALL SELECT '1998-06-30', (SELECT count(*) FROM two),
+        'aggregate contains multiple periods'
+        UNION ALL SELECT '1998-06-30', NULL,
+        'Aggregate file is missing required columns: sexo, ptpd'
+        UNION ALL SELECT '1998-06-30', (SELECT count(*) FROM one),
+        'aggregate and concentrado columns do not match exactly'""",
+        **_DELIVERED,
+    ),
+)
+def aggregate_pre_checks(spark, sf):
+    """A month asked for by its own and by another name, a year, and two odd layouts."""
+    rows = _printed_rows(spark, sf)
+    june = rows.filter(F.col(P) == "1998-06-30")
+    asked = "1998-06-30"
+    checks = [
+        H.aggregate_pre_checks(june, asked, rows.columns),
+        H.aggregate_pre_checks(june, "1998-07-31"),
+        H.aggregate_pre_checks(rows.filter(F.col(P).startswith("1998-")), asked),
+        H.aggregate_pre_checks(june.drop("sexo", "ptpd"), asked),
+        H.aggregate_pre_checks(june, asked, rows.columns[::-1]),
+    ]
+    return reduce(DataFrame.unionByName, checks)
+
+
+@query(
+    "fact_constraints",
+    over(
+        "norm",
+        f"""SELECT {P}, 'unique_analytic_key' AS constraint, {big("SUM(n)", "filas")} FROM g
+        WHERE n > 1 GROUP BY 1 UNION ALL
+        SELECT {P}, 'accepted_ptpd', {big("SUM(n)", "filas")} FROM g
+        WHERE ptpd NOT IN ('0', '1', 'no_disponible', 'no_aplica') GROUP BY 1""",
+        f=f"""SELECT * REPLACE (CASE WHEN {P} LIKE '1999-%' AND ptpd = '0' THEN '2'
+        ELSE coalesce(ptpd, 'no_disponible') END AS ptpd) FROM norm
+        UNION ALL SELECT * REPLACE (coalesce(ptpd, 'no_disponible') AS ptpd) FROM norm
+        WHERE ta > 45 AND {P} LIKE '1998-%'""",
+        g=f"SELECT {P}, ptpd, count(*) AS n FROM f GROUP BY {listed(SPEC.keys)}",
+    ),
+)
+def fact_constraints(spark, sf):
+    """Facts with repeated keys in 1998 and an unknown flag in 1999."""
+    rows = fact_defaults(rows_with(spark, sf, SPEC.keys, ("ta",)))
+    again = rows.filter((F.col("ta") > 45) & F.col(P).startswith("1998-"))
+    odd = F.when(F.col(P).startswith("1999-") & (F.col("ptpd") == "0"), "2")
+    flagged = rows.withColumn("ptpd", F.coalesce(odd, F.col("ptpd")))
+    return fact_constraint_violations(flagged.unionByName(again))
+
+
 # ---------------------------------------------------------------- tables
 
 

@@ -7,10 +7,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from cubeloom.operators import audit as A
+from cubeloom.operators import facts as L
 from cubeloom.operators import history as H
+from cubeloom.operators import normalize as N
 from cubeloom.operators.cube import cube_aggregate
 from cubeloom.session import fresh_path
-from cubeloom.sources.tables import PeriodHistory, write_csv, write_parquet
+from cubeloom.sources.schemas import empty_table
+from cubeloom.sources.tables import (
+    ConstraintError,
+    FactTables,
+    PeriodHistory,
+    write_csv,
+    write_parquet,
+)
 from cubeloom.spec import DEFAULT_SPEC as SPEC
 
 P = SPEC.period
@@ -150,9 +159,55 @@ def test_four_duplicate_numbers_differ(spark, cube_of):
     assert (skipped.status, skipped.missing_key_columns) == ("skipped_missing_key_columns", "ptpd")
 
 
-def test_repeated_header_rows(spark):
-    df = spark.createDataFrame([("a", "b"), ("1", "b")], "a string, b string")
-    assert H.repeated_header_rows(df).count() == 1
+def test_pre_checks_of_a_delivery(spark, cube_of):
+    jan, feb = cube_of({P: "2025-01-31"}), cube_of({P: "2025-02-28"})
+
+    def errors(df, columns=None):
+        return H.aggregate_pre_checks(df, "2025-01-31", columns).first().errors
+
+    assert errors(jan) == errors(jan, jan.columns) == ""
+    assert errors(jan.unionByName(feb)) == "aggregate contains multiple periods"
+    assert errors(feb).endswith("requested period: 2025-02-28")
+    assert "no data rows" in errors(jan.limit(0)) and "<empty>" in errors(jan.limit(0))
+    assert errors(jan.drop("sexo", "ta")).endswith("columns: sexo, ta")
+    assert "do not match exactly" in errors(jan, jan.columns[::-1])
+    header = spark.createDataFrame([tuple(jan.columns)], jan.columns)
+    assert "duplicated header row" in errors(header)
+
+
+def test_load_and_promote_are_insert_only(spark, cube_of):
+    control = spark.createDataFrame([("2025-01-31", "pending")], f"{P} string, status string")
+    tables = FactTables(spark, fresh_path(spark, "facts"))
+    source = cube_of({P: "2025-01-31", "ptpd": "<null>"}, {P: "2025-02-28"})
+    for _ in range(2):
+        tables.load_staging(source, control, "run-1")
+        tables.promote(control)
+    assert [(r[P], r.run_id) for r in tables.staging().collect()] == [("2025-01-31", "run-1")]
+    facts = tables.facts().collect()
+    assert [(r[P], r.ptpd, r.ta) for r in facts] == [("2025-01-31", "no_disponible", 1.0)]
+
+
+def test_promotion_refuses_rows_that_break_a_constraint(spark, cube_of):
+    control = spark.createDataFrame([("2025-01-31", "pending")], f"{P} string, status string")
+    twice = cube_of({P: "2025-01-31", "ptpd": "0"})
+    odd = cube_of({P: "2025-01-31", "ptpd": "x"})
+    for source, kind in ((twice.unionByName(twice), "unique_analytic_key"), (odd, "accepted_ptpd")):
+        tables = FactTables(spark, fresh_path(spark, "facts"))
+        tables.load_staging(source, control, "run-1")
+        with pytest.raises(ConstraintError, match=kind):
+            tables.promote(control)
+        assert tables.facts().isEmpty()
+
+
+def test_empty_tables_have_the_columns_of_the_operators(spark, cube_of):
+    staged = N.staging_projection(cube_of({}), "r")
+    assert empty_table(spark, "staging").dtypes == staged.dtypes
+    existing = L.existing_period_check(
+        cube_of({}), empty_table(spark, "control"), cube_of({}).groupBy(P).agg(F.count("*").alias("filas"))
+    )
+    assert existing.first().recommended_status == "conflict_existing_final_rows_without_control"
+    assert L.register_pending(existing).dtypes == empty_table(spark, "control").dtypes
+    assert empty_table(spark, "cat_genero").columns == ["sexo", "descripcion", "activo"]
 
 
 def test_sinks(spark, cube_of):
