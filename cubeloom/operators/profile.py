@@ -7,6 +7,9 @@ columns or rows a table has.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,17 +45,18 @@ def null_counts(df: DataFrame, top: int | None = None) -> DataFrame:
 
 def value_counts(df: DataFrame, columns: list[str], k: int | None = None) -> DataFrame:
     """Counts and share of every non-null value, optionally the k most frequent per column."""
-    counts = _as_text(df, columns).groupBy("columna", "valor").agg(F.count("*").alias("cantidad"))
-    # the share is taken over all rows, null ones too; one total row per column
-    totals = counts.groupBy("columna").agg(F.sum("cantidad").alias("_rows"))
-    counts = counts.filter(F.col("valor").isNotNull())
+    counts = (
+        _as_text(df, columns)
+        .filter(F.col("valor").isNotNull())
+        .groupBy("columna", "valor")
+        .agg(F.count("*").alias("cantidad"))
+    )
     if k is not None:
         order = Window.partitionBy("columna").orderBy(F.col("cantidad").desc(), "valor")
         counts = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    out = counts.join(totals, "columna").withColumn(
-        "porcentaje", F.col("cantidad") / F.col("_rows") * 100
-    )
-    return out.drop("_rows")
+    # the share is taken over all rows, null ones too
+    rows = df.agg(F.count("*")).scalar()
+    return counts.withColumn("porcentaje", F.col("cantidad") / rows * 100)
 
 
 def column_profile(df: DataFrame, top: int = 5) -> DataFrame:
@@ -142,11 +146,15 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 
 def duplicated_rows(df: DataFrame) -> DataFrame:
-    """All rows that occur more than once, each as often as it occurs."""
-    repeated = _row_counts(df).filter("_n > 1")
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(
-        *df.columns
-    )
+    """All rows that occur more than once, each as often as it occurs.
+
+    The rows are looked up by a semi join, which AQE splits when one row makes
+    up much of the table; its copies are never gathered in one place.
+    """
+    names = {c: f"_key{i}" for i, c in enumerate(df.columns)}
+    repeated = _row_counts(df).filter("_n > 1").select(*[F.col(c).alias(n) for c, n in names.items()])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    return df.join(repeated, same, "left_semi")
 
 
 DISTINCT_LIMIT = 10_000
@@ -219,17 +227,16 @@ def source_period_counts(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFr
 
 
 def source_period_summary(counts: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
-    """One row over :func:`source_period_counts`: it has one row per month only."""
+    """One row over :func:`source_period_counts`, with the first 20 periods as a sample."""
     period = F.col(spec.period)
+    first = counts.filter(period.isNotNull()).select(spec.period).orderBy(spec.period).limit(20)
+    sample = first.agg(F.array_join(F.array_sort(F.collect_list(spec.period)), ","))
     return counts.agg(
         F.sum("filas").alias("rows_scanned"),
         F.coalesce(F.sum(F.when(period.isNull(), F.col("filas"))), F.lit(0)).alias(
             "empty_period_rows"
         ),
         F.count(period).alias("distinct_period_count"),
-        F.array_join(F.slice(F.array_sort(F.collect_list(period)), 1, 20), ",").alias(
-            "sample_periods"
-        ),
         F.min(period).alias("min_period"),
         F.max(period).alias("max_period"),
-    )
+    ).withColumn("sample_periods", sample.scalar())
