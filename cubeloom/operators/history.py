@@ -11,6 +11,21 @@ from cubeloom.functions.numbers import UNITS_PER_ONE, number_column, unit_sum
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 
+# The texts of failed checks before and after a publish.
+MESSAGES = {
+    "missing_columns": "Aggregate file is missing required columns: ",
+    "multiple_periods": "aggregate contains multiple periods",
+    "other_period": "aggregate period does not match requested period: ",
+    "header_row": "aggregate file contains a duplicated header row",
+    "no_rows": "aggregate file has no data rows",
+    "other_columns": "aggregate and concentrado columns do not match exactly",
+    "not_found_after": "post-publish comparison did not return already_exists",
+    "other_row_count": "rows_inserted does not match expected aggregate row_count",
+    "other_total": "row count after append does not match expected total",
+    "other_period_count": "post-publish period row_count does not match aggregate",
+}
+
+
 def period_rollup(
     cube: DataFrame, declared: str | None = None, spec: CubeSpec = DEFAULT_SPEC
 ) -> DataFrame:
@@ -94,7 +109,7 @@ def aggregate_pre_checks(
     required = dict.fromkeys((*spec.keys, *spec.fingerprint_counts, *spec.fingerprint_amounts))
     missing = [c for c in required if c not in candidate.columns]
     if missing:
-        message = f"Aggregate file is missing required columns: {', '.join(missing)}"
+        message = MESSAGES["missing_columns"] + ", ".join(missing)
         return candidate.sparkSession.range(1).select(
             F.lit(period).alias(spec.period),
             F.lit(None).cast("bigint").alias("row_count"),
@@ -115,15 +130,15 @@ def aggregate_pre_checks(
     shown = F.when(F.size("periods") == 0, "<empty>").otherwise(F.array_join("periods", ", "))
     other = ~(F.array_join("periods", ",") == period)
     checks = [
-        F.when(F.size("periods") > 1, "aggregate contains multiple periods").when(
+        F.when(F.size("periods") > 1, MESSAGES["multiple_periods"]).when(
             other,
-            F.concat(F.lit("aggregate period does not match requested period: "), shown),
+            F.concat(F.lit(MESSAGES["other_period"]), shown),
         ),
-        F.when(F.col("headers") > 0, "aggregate file contains a duplicated header row"),
-        F.when(F.col("row_count") == 0, "aggregate file has no data rows"),
+        F.when(F.col("headers") > 0, MESSAGES["header_row"]),
+        F.when(F.col("row_count") == 0, MESSAGES["no_rows"]),
     ]
     if columns is not None and list(columns) != candidate.columns:
-        checks.append(F.lit("aggregate and concentrado columns do not match exactly"))
+        checks.append(F.lit(MESSAGES["other_columns"]))
     return found.select(
         F.lit(period).alias(spec.period),
         "row_count",
@@ -321,19 +336,19 @@ def publish_post_checks(
         F.array(
             fails(
                 F.col("comparison_status") == "already_exists",
-                "post-publish comparison did not return already_exists",
+                MESSAGES["not_found_after"],
             ),
             fails(
                 F.col("inserted") == F.col("expected"),
-                "rows_inserted does not match expected aggregate row_count",
+                MESSAGES["other_row_count"],
             ),
             fails(
                 F.col("before") + F.col("inserted") == F.col("after"),
-                "row count after append does not match expected total",
+                MESSAGES["other_total"],
             ),
             fails(
                 F.col("after") == F.col("expected"),
-                "post-publish period row_count does not match aggregate",
+                MESSAGES["other_period_count"],
             ),
         )
     )
