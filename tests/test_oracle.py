@@ -5,7 +5,7 @@ from compare import connect, difference
 
 import __spark_entry__ as entry_module
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+from cubeloom.workload import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
