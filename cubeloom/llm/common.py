@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +57,21 @@ def batch(schema: pa.Schema, columns: dict[str, list]) -> pa.RecordBatch:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+class Shared:
+    """A bounded value for all tasks of a plan, sent to each executor once."""
+
+    def __init__(self, spark: SparkSession, value):
+        # by value like the functions themselves: executors need not have this package
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self._read = None
+
+    def __getstate__(self):
+        return {"_sent": self._sent, "_read": None}
+
+    @property
+    def value(self):
+        if self._read is None:
+            self._read = cloudpickle.loads(self._sent.value)
+        return self._read

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubeloom.llm.common import keyed_texts
+from cubeloom.llm.common import Shared, keyed_texts
 from cubeloom.session import materialize
 
 MIN_CHARS = 20
@@ -393,7 +393,7 @@ def drop_lines(
     filters = None
     if total <= filter_bytes:
         tables = {r.shard: bytes(r.cells) for r in state.filters.collect()}
-        filters = spark.sparkContext.broadcast(tables)
+        filters = Shared(spark, tables)
     texts = keyed_texts(docs, id_col, text_col)
     texts = texts.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", "text")
     maybe = texts.mapInArrow(

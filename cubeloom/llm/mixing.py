@@ -136,6 +136,7 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, taken, passes, blocks.
 
@@ -150,10 +151,13 @@ def mix(
         F.col(id_col).cast("long").alias("doc_id"),
         source.alias("source"),
         word_count(text_of(text_col)).alias("size"),
+        *([] if row_col is None else [F.col(row_col).alias("row")]),
     )
     # the number of a row only tells rows apart that repeat a doc_id; the order of blocks
     # comes from the seeded hash and, for such rows, from their (equal) contents
-    sized = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    if row_col is None:
+        rows = rows.withColumn("row", F.monotonically_increasing_id())
+    sized = materialize(rows, "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").cast("double").alias("source_size"))
     targets = source_targets(totals, plan)
     blocks = F.round(F.sum("target").over(Window.partitionBy("_all")) / plan.block_words)
@@ -272,27 +276,14 @@ def mixed_texts(
     The partial pass holds the taken blocks in the order of the text, joined by a blank; a
     document that the mix does not take has no row.
     """
-    frozen = docs.withColumn("__mix_size", word_count(F.col(text_col)))
-    taken = mix(docs, plan, id_col, text_col, source_col).select(
-        F.col("doc_id").alias("__mix_id"),
-        F.col("source").alias("__mix_source"),
-        F.col("size").alias("__mix_words"),
-        "passes",
-        "blocks",
-    )
-    # rows that agree in id, source and size are interchangeable: their passes and blocks are
-    # added up before the join so that each is used once
-    copies = Window.partitionBy("__mix_id", "__mix_source", "__mix_words")
-    taken = taken.withColumn("__mix_copy", F.row_number().over(copies.orderBy("passes", "blocks")))
-    own = Window.partitionBy(id_col, source_col, "__mix_size").orderBy(F.col(text_col))
-    frozen = frozen.withColumn("__mix_number", F.row_number().over(own))
-    joined = frozen.join(
-        taken,
-        F.col(id_col).cast("long").eqNullSafe(F.col("__mix_id"))
-        & F.col(source_col).cast("string").eqNullSafe(F.col("__mix_source"))
-        & (F.col("__mix_size") == F.col("__mix_words"))
-        & (F.col("__mix_number") == F.col("__mix_copy")),
+    # written with its row numbers: a document of the mix is found by its number
+    frozen = materialize(docs.withColumn("__mix_row", F.monotonically_increasing_id()), "mix-docs")
+    taken = mix(frozen, plan, id_col, text_col, source_col, "__mix_row").select(
+        F.col("row").alias("__mix_row"),
+        F.col("passes").alias("__mix_passes"),
+        F.col("blocks").alias("__mix_blocks"),
     )
+    joined = frozen.join(taken, "__mix_row")
     words = F.regexp_extract_all(text_of(text_col), F.lit(f"({WORD})"), 1)
 
     def cut(all_words: Column) -> Column:
@@ -300,7 +291,7 @@ def mixed_texts(
             " ",
             F.flatten(
                 F.transform(
-                    "blocks",
+                    "__mix_blocks",
                     lambda b: F.slice(
                         all_words,
                         (b["block"] * plan.block_words + 1).cast("int"),
@@ -313,8 +304,8 @@ def mixed_texts(
     # through a lambda of its own the words are found once, not once per block
     partial = F.transform(F.array(words), cut)
     texts = F.concat(
-        F.array_repeat(text_of(text_col), F.col("passes")),
-        F.when(F.size("blocks") > 0, partial).otherwise(
+        F.array_repeat(text_of(text_col), F.col("__mix_passes")),
+        F.when(F.size("__mix_blocks") > 0, partial).otherwise(
             F.array().cast("array<string>")
         ),
     )

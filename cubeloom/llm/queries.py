@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubeloom.llm import chat, exact_dedup, line_dedup, mixing, packing, simhash, topk
-from cubeloom.llm.common import table, text_of
+from cubeloom.llm import bpe, chat, exact_dedup, line_dedup, lm, mixing, packing, simhash, topk, toxicity
+from cubeloom.llm.common import crc_bucket, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,6 +124,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def word_bpe() -> bpe.WordBpe:
+    import public_tokenizers
+
+    return bpe.WordBpe.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op5_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), word_bpe()).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query("op6_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level ids (byte + 3, each document closed by 1) in rows of 8,192."""
@@ -144,6 +160,34 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_bucket(F.col("doc_id"), 3) == 1
+    scored = toxicity.score_toxicity(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "labels"),
+        ~held_out,
+    )
+    return scored.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted"
+    )
+
+
+@query("op9_lm")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trains = crc_bucket(F.col("doc_id"), 7) != 2
+    scored = lm.score_texts(table(spark, sf_dir, "documents"), trains)
+    return scored.select(
+        "doc_id",
+        (~F.col("trained")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @query(
     "op10_exact_topk",
     """

@@ -129,7 +129,7 @@ def within_chain(
     return fits
 
 
-def _forest(size: int, pairs: np.ndarray) -> list[tuple[int, int]]:
+def spanning_forest(size: int, pairs: np.ndarray) -> list[tuple[int, int]]:
     root = list(range(size))
 
     def find(i: int) -> int:
@@ -156,7 +156,7 @@ def _compare_buckets(max_bits: int, segments: int, bucket: int):
         differ = members[a] ^ members[b]
         kept = np.flatnonzero(within_chain(differ, start, max_bits, segments))
         kept = kept[np.bitwise_count(differ[kept]) <= max_bits]
-        return _forest(len(members), np.stack([a[kept], b[kept]], 1))
+        return spanning_forest(len(members), np.stack([a[kept], b[kept]], 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, members, large = None, [], False
