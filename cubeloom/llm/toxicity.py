@@ -363,8 +363,11 @@ def train(docs: DataFrame, labels: DataFrame, trains: Column, plan: ToxicityPlan
     ``docs`` (doc_id, text), ``labels`` (doc_id, label).  At most about ``plan.sample`` rows
     are taken, by a hash of the doc_id, so the driver sees bounded data.
     """
-    marked = labels.where(F.col("label").isin(0, 1) & trains).groupBy("doc_id").agg(
-        F.max("label").cast("int").alias("label")
+    marked = (
+        labels.where(F.col("label").isin(0, 1) & trains)
+        .groupBy("doc_id")
+        .agg(F.max("label").cast("int").alias("label"))
+        .join(docs.select("doc_id"), "doc_id", "left_semi")
     )
     n = marked.count()
     if not n:
@@ -412,7 +415,7 @@ def train(docs: DataFrame, labels: DataFrame, trains: Column, plan: ToxicityPlan
     margins = np.zeros(len(y))
     for f in range(plan.folds):
         own = fold == f
-        if own.any() and (~own).any():
+        if own.any() and len(set(y[~own])) == 2:
             margins[own] = fit_trees(x[~own], y[~own], plan).margin(x[own])
     return ToxicityModel(lexicons[-1], fit_trees(x, y, plan), isotonic(margins, y))
 
