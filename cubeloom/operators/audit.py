@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from cubeloom.functions.numbers import (
     UNITS_PER_ONE,
-    from_units,
+    exact_sum,
     number_column,
     safe_ratio,
-    unit_sum,
+    wide_unit_sum,
 )
 from cubeloom.functions.text import WHITESPACE, strip
 from cubeloom.operators.history import period_rollup
@@ -48,15 +48,15 @@ def audit_rollup(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
 
     return cube.groupBy(dim(spec.period), dim(spec.flag)).agg(
         F.count("*").alias("filas"),
-        *[unit_sum(number_column(cube, m)).alias(m) for m in _rollup_measures(spec)],
+        *[wide_unit_sum(number_column(cube, m)).alias(m) for m in _rollup_measures(spec)],
         F.count_if((F.coalesce(paid, F.lit(0.0)) == 0) & stored.isNotNull()).alias("zero_den"),
         F.max(F.abs(stored - recomputed)).alias("max_diff"),
     )
 
 
 def _again(name: str) -> Column:
-    """Sum of unit sums; DECIMAL because a whole history may pass the BIGINT range."""
-    return F.sum(F.col(name).cast("decimal(38,0)"))
+    """Sum of unit sums, which are DECIMAL."""
+    return F.sum(name)
 
 
 def _value(col: Column) -> Column:
@@ -230,7 +230,7 @@ def top_values(
         *[F.col(c).cast("string").alias(c) for c in names],
     ).unpivot(["_jobs"], names, "column_name", "value")
     counts = rows.groupBy("column_name", "value").agg(
-        F.count("*").alias("filas"), from_units(unit_sum(F.col("_jobs"))).alias("ta")
+        F.count("*").alias("filas"), exact_sum(F.col("_jobs")).alias("ta")
     )
     order = Window.partitionBy("column_name").orderBy(
         F.col("filas").desc(), F.col("value").asc_nulls_first()

@@ -20,7 +20,7 @@ ACTIONS = (
     "blocked_inconsistent_state",
 )
 ELIGIBLE = ("download_process_load", "validate_process_load")
-MAX_SELECTED = 3
+SELECTED = 3
 
 
 def _month_end(period: str, name: str) -> dt.date:
@@ -112,14 +112,14 @@ def batch_plan(
 
 
 def batch_select(
-    plan: DataFrame, max_periods: int = MAX_SELECTED, spec: CubeSpec = DEFAULT_SPEC
+    plan: DataFrame, max_periods: int = SELECTED, spec: CubeSpec = DEFAULT_SPEC
 ) -> DataFrame:
-    """Eligible periods in order, the first ``max_periods`` (at most 3) marked as selected.
+    """Eligible periods in order, the first ``max_periods`` marked as selected.
 
     The window has no partition: a plan has one row per calendar month.
     """
-    if not 1 <= max_periods <= MAX_SELECTED:
-        raise ValueError(f"max_periods must be between 1 and {MAX_SELECTED}")
+    if max_periods < 1:
+        raise ValueError("max_periods must be at least 1")
     eligible = plan.filter(F.col("recommended_action").isin(*ELIGIBLE) & ~F.col("blocked"))
     place = F.row_number().over(Window.orderBy(spec.period))
     return eligible.select(

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from cubeloom.functions.numbers import (
     exact_sum,
+    exact_difference,
+    from_exact,
     from_units,
+    joined_units,
     number_column,
+    rest,
     safe_ratio,
     total,
-    unit_sum,
     units,
 )
 from cubeloom.operators.normalize import cube_rows
@@ -24,14 +27,14 @@ def _parts(names: tuple[str, ...]) -> Column:
     return total([F.col(n) for n in names])
 
 
-def _exact_parts(names: tuple[str, ...]) -> Column:
-    return total([units(F.col(n)) for n in names])
+def _exact(plus: tuple[str, ...], minus: tuple[str, ...] = ()) -> Column:
+    return exact_difference([F.col(n) for n in plus], [F.col(n) for n in minus])
 
 
 def ratio_columns(spec: CubeSpec = DEFAULT_SPEC) -> dict[str, Column]:
     """Ratios of sums, never sums or means of ratios."""
     return {
-        name: safe_ratio(from_units(_exact_parts(num)), from_units(_exact_parts(den)))
+        name: safe_ratio(_exact(num), _exact(den))
         for name, (num, den) in spec.ratios.items()
     }
 
@@ -39,25 +42,35 @@ def ratio_columns(spec: CubeSpec = DEFAULT_SPEC) -> dict[str, Column]:
 def difference_columns(spec: CubeSpec = DEFAULT_SPEC) -> dict[str, Column]:
     """Gaps between a total and its parts; exact, so a match is 0 and not a rounding rest."""
     return {
-        name: from_units(_exact_parts(plus) - _exact_parts(minus))
+        name: _exact(plus, minus)
         for name, (plus, minus) in spec.differences.items()
     }
 
 
 def sum_to_cube(rows: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Group numeric rows by the key; null is a group, an all-null sum stays null."""
-    sums = rows.groupBy(*spec.keys).agg(*[unit_sum(F.col(c)).alias(c) for c in spec.sums])
+    others = {c: f"_rest_{c}" for c in spec.sums}
+    sums = rows.groupBy(*spec.keys).agg(
+        *[F.sum(units(F.col(c))).alias(c) for c in spec.sums],
+        *[F.sum(rest(F.col(c))).alias(n) for c, n in others.items()],
+    )
+
+    def exact(plus: tuple[str, ...], minus: tuple[str, ...] = ()) -> Column:
+        """Of BIGINT sums wherever nothing else was summed."""
+        value, wide = _parts(plus), total([joined_units(F.col(n), F.col(others[n])) for n in plus])
+        if minus:
+            value = value - _parts(minus)
+            wide = wide - total([joined_units(F.col(n), F.col(others[n])) for n in minus])
+        plain = F.lit(True)
+        for n in (*plus, *minus):
+            plain = plain & F.col(others[n]).isNull()
+        return F.when(plain, from_units(value)).otherwise(from_exact(wide))
+
     return sums.select(
         *spec.keys,
-        *[from_units(F.col(c)).alias(c) for c in spec.sums],
-        *[
-            safe_ratio(from_units(_parts(num)), from_units(_parts(den))).alias(name)
-            for name, (num, den) in spec.ratios.items()
-        ],
-        *[
-            from_units(_parts(plus) - _parts(minus)).alias(name)
-            for name, (plus, minus) in spec.differences.items()
-        ],
+        *[exact((c,)).alias(c) for c in spec.sums],
+        *[safe_ratio(exact(num), exact(den)).alias(name) for name, (num, den) in spec.ratios.items()],
+        *[exact(plus, minus).alias(name) for name, (plus, minus) in spec.differences.items()],
     )
 
 

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubeloom.functions.numbers import UNITS_PER_ONE, number_column, unit_sum
+from cubeloom.functions.numbers import REST, UNITS_PER_ONE, number_column, unit_sum
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 
@@ -55,7 +55,7 @@ def period_rollup(
         F.sum("cnt").alias("filas"),
         F.count("*").alias("llaves"),
         F.sum(F.when(F.col("cnt") > 1, F.col("cnt")).otherwise(0)).alias("repetidas"),
-        *[F.sum(F.col(m).cast("decimal(38,0)")).alias(m) for m in measures],
+        *[F.sum(m).alias(m) for m in measures],
         *[F.sum(n).alias(n) for n in infinite],
     )
     return pairs.groupBy("periodo").agg(
@@ -63,7 +63,7 @@ def period_rollup(
         F.sum("llaves").alias("llaves"),
         F.sum("repetidas").alias("repetidas"),
         F.array_sort(F.collect_set("_found")).alias("found"),
-        *[F.coalesce(F.sum(m), F.lit(0)).cast("decimal(38,0)").alias(m) for m in measures],
+        *[F.coalesce(F.sum(m), F.lit(0)).cast(REST).alias(m) for m in measures],
         *[F.sum(n).alias(n) for n in infinite],
     )
 
@@ -75,7 +75,10 @@ def period_fingerprint(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFr
 
 def fingerprint_of(rollup: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     def exact_value(name: str) -> Column:
-        return (F.col(name) * F.lit(Decimal(1) / UNITS_PER_ONE)).cast("decimal(38,4)")
+        # the whole and the fraction of the units apart, as their product has too many digits
+        whole = F.floor(name).cast("decimal(26,0)")
+        part = F.round(F.col(name) - whole, 0).cast("decimal(26,0)")
+        return ((whole + part) * F.lit(Decimal(1) / UNITS_PER_ONE)).cast("decimal(38,4)")
 
     def whole(name: str) -> Column:
         return F.bround(exact_value(name), 0).cast("bigint")  # half to even, as Python's round

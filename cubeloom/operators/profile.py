@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cubeloom.functions.numbers import from_units, number_column, unit_sum, units
+from cubeloom.functions.numbers import exact_sum, from_exact, parse_number, wide_unit_sum
 from cubeloom.functions.text import comparable_text, strip
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
@@ -64,35 +64,41 @@ def column_profile(df: DataFrame, top: int = 5) -> DataFrame:
 
     Nulls and their share, distinct raw and comparable values, their gap
     ('ghost' values), the most frequent comparable values, and min, max and
-    mean of numbers.
+    mean of finite numbers beside the count of others.
     """
     columns = df.columns
     texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
     numbers = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
 
+    def cells(name: str) -> list[Column]:
+        number = F.col(name).cast("double") if name in numbers else F.lit(None).cast("double")
+        value = F.when(F.abs(number) < F.lit(float("inf")), number)
+        return [
+            F.count(F.lit(1)).alias(f"_rows__{name}"),
+            F.count_if(F.col(name).isNull()).alias(f"valores_nulos__{name}"),
+            F.count_if(number.isNotNull() & value.isNull()).alias(f"no_finitos__{name}"),
+            F.min(value).alias(f"min__{name}"),
+            F.max(value).alias(f"max__{name}"),
+            F.round(exact_sum(value) / F.nullif(F.count(value), F.lit(0)), 2).alias(
+                f"media__{name}"
+            ),
+        ]
+
+    # nulls and numbers from one plain aggregate; (column, value) rows only for what needs them
+    fields = ["_rows", "valores_nulos", "no_finitos", "min", "max", "media"]
+    plain = _stack(df.agg(*[c for n in columns for c in cells(n)]), columns, fields)
     raw = _as_text(df, columns).groupBy("columna", "valor").agg(F.count("*").alias("n"))
     is_text = F.col("columna").isin(*texts) if texts else F.lit(False)
-    is_number = F.col("columna").isin(*numbers) if numbers else F.lit(False)
     comparable = F.when(is_text, comparable_text(F.col("valor"))).otherwise(F.col("valor"))
-    # numbers come back from their text exactly, so one scan serves all columns
-    number = F.when(is_number, F.col("valor").try_cast("double"))
     by_value = raw.groupBy("columna", comparable.alias("norm")).agg(
-        F.count("valor").alias("raw_values"),
-        F.sum("n").alias("n"),
-        F.sum(F.when(F.col("valor").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
-        F.min(number).alias("min"),
-        F.max(number).alias("max"),
-        F.sum(units(number) * F.col("n")).alias("units"),
+        F.count("valor").alias("raw_values"), F.sum("n").alias("n")
     )
-    filled = F.sum("n") - F.sum("nulls")
-    profile = by_value.groupBy("columna").agg(
-        F.sum("n").alias("_rows"),
-        F.sum("nulls").alias("valores_nulos"),
-        F.sum("raw_values").alias("nunique_raw"),
-        F.count("norm").alias("_norm"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-        F.round(from_units(F.sum("units")) / F.when(filled > 0, filled), 2).alias("media"),
+    profile = plain.join(
+        by_value.groupBy("columna").agg(
+            F.sum("raw_values").alias("nunique_raw"), F.count("norm").alias("_norm")
+        ),
+        "columna",
+        "left",
     )
     order = Window.partitionBy("columna").orderBy(
         F.col("n").desc(), F.col("norm").asc_nulls_first()
@@ -120,10 +126,13 @@ def column_profile(df: DataFrame, top: int = 5) -> DataFrame:
         "columna",
         "valores_nulos",
         F.round(F.col("valores_nulos") / F.col("_rows") * 100, 2).alias("porcentaje_nulos"),
-        "nunique_raw",
-        F.when(is_text, F.col("_norm")).alias("nunique_normalizado"),
-        F.when(is_text, F.col("nunique_raw") - F.col("_norm")).alias("valores_fantasma"),
+        F.coalesce("nunique_raw", F.lit(0)).alias("nunique_raw"),
+        F.when(is_text, F.coalesce("_norm", F.lit(0))).alias("nunique_normalizado"),
+        F.when(is_text, F.coalesce(F.col("nunique_raw") - F.col("_norm"), F.lit(0))).alias(
+            "valores_fantasma"
+        ),
         "top_valores",
+        "no_finitos",
         "min",
         "max",
         "media",
@@ -157,67 +166,54 @@ def duplicated_rows(df: DataFrame) -> DataFrame:
     return df.join(repeated, same, "left_semi")
 
 
-DISTINCT_LIMIT = 10_000
-SAMPLE_LIMIT = 10
-
-
 def source_profile(
     df: DataFrame,
     dims: list[str],
     numbers: list[str],
-    max_rows: int | None = None,
-    spec: CubeSpec = DEFAULT_SPEC,
+    samples: int = 10,
 ) -> DataFrame:
-    """Fill, distinct values (up to a reported limit), samples and numeric range of text columns.
+    """Fill, distinct values, samples and numeric range of text columns, from one scan.
 
-    ``max_rows`` bounds the look at the source; by default all rows are read.
-    The samples are the smallest values, because 'first' depends on the order of files.
+    The samples are the ``samples`` smallest values, because 'first' depends on the order of
+    files.  Number columns are profiled by their distinct texts, each parsed once.
     """
     dims = [c for c in dims if c in df.columns]
-    numbers = [c for c in numbers if c in df.columns]
-    if max_rows is not None:
-        df = df.limit(max_rows)
-    values = (
-        _as_text(df, dims)
+    numbers = [c for c in numbers if c in df.columns and c not in dims]
+    names = [*dims, *numbers]
+    is_number = F.col("columna").isin(*numbers) if numbers else F.lit(False)
+    number = F.when(is_number, parse_number(F.col("valor")))
+    counted = (
+        _as_text(df, names)
         .groupBy("columna", F.coalesce(strip(F.col("valor")), F.lit("")).alias("valor"))
-        .agg(F.count("*").alias("n"))
+        .agg(
+            F.count("*").alias("n"),
+            F.min(number).alias("number"),
+            wide_unit_sum(number).alias("units"),
+        )
     )
     filled = F.col("valor") != ""
-    sample = Window.partitionBy("columna").orderBy("valor")
-    samples = (
-        values.filter(filled)
-        .withColumn("rank", F.row_number().over(sample))
-        .filter(F.col("rank") <= SAMPLE_LIMIT)
+    per_column = counted.groupBy("columna").agg(
+        F.sum(F.when(filled, F.col("n")).otherwise(0)).alias("non_empty_count"),
+        F.sum(F.when(filled, 0).otherwise(F.col("n"))).alias("empty_count"),
+        F.when(~is_number, F.count_if(filled)).alias("distinct_count"),
+        F.when(
+            is_number,
+            F.sum(F.when(filled & F.col("number").isNull(), F.col("n")).otherwise(0)),
+        ).alias("numeric_parse_errors"),
+        F.min("number").alias("min"),
+        F.max("number").alias("max"),
+        F.when(is_number, F.coalesce(from_exact(F.sum("units")), F.lit(0.0))).alias("sum"),
+    )
+    # Spark's window group limit keeps `samples` values per column and task for the ranking
+    smallest = Window.partitionBy("columna").orderBy("valor")
+    shown = (
+        counted.where(filled & ~is_number)
+        .withColumn("rank", F.row_number().over(smallest))
+        .where(F.col("rank") <= samples)
         .groupBy("columna")
         .agg(F.array_join(F.array_sort(F.collect_list("valor")), ",").alias("sample_values"))
     )
-    dim_part = (
-        values.groupBy("columna")
-        .agg(
-            F.sum(F.when(filled, F.col("n")).otherwise(0)).alias("non_empty_count"),
-            F.sum(F.when(filled, 0).otherwise(F.col("n"))).alias("empty_count"),
-            F.least(F.count_if(filled), F.lit(DISTINCT_LIMIT)).alias("distinct_count_limited"),
-        )
-        .join(samples, "columna", "left")
-    )
-    if not numbers:
-        return dim_part
-
-    def cells(name: str) -> list[Column]:
-        text = F.nullif(strip(F.col(name).cast("string")), F.lit(""))
-        number = number_column(df, name)
-        return [
-            F.count(text).alias(f"non_empty_count__{name}"),
-            F.count_if(text.isNull()).alias(f"empty_count__{name}"),
-            F.count_if(text.isNotNull() & number.isNull()).alias(f"numeric_parse_errors__{name}"),
-            F.min(number).alias(f"min__{name}"),
-            F.max(number).alias(f"max__{name}"),
-            F.coalesce(from_units(unit_sum(number)), F.lit(0.0)).alias(f"sum__{name}"),
-        ]
-
-    fields = ["non_empty_count", "empty_count", "numeric_parse_errors", "min", "max", "sum"]
-    one_row = df.agg(*[c for n in numbers for c in cells(n)])
-    return dim_part.unionByName(_stack(one_row, numbers, fields), allowMissingColumns=True)
+    return per_column.join(shown, "columna", "left")
 
 
 def source_period_counts(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
@@ -226,10 +222,12 @@ def source_period_counts(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFr
     return df.groupBy(period.alias(spec.period)).agg(F.count("*").alias("filas"))
 
 
-def source_period_summary(counts: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
-    """One row over :func:`source_period_counts`, with the first 20 periods as a sample."""
+def source_period_summary(
+    counts: DataFrame, samples: int = 20, spec: CubeSpec = DEFAULT_SPEC
+) -> DataFrame:
+    """One row over :func:`source_period_counts`, with the first ``samples`` periods."""
     period = F.col(spec.period)
-    first = counts.filter(period.isNotNull()).select(spec.period).orderBy(spec.period).limit(20)
+    first = counts.filter(period.isNotNull()).select(spec.period).orderBy(spec.period).limit(samples)
     sample = first.agg(F.array_join(F.array_sort(F.collect_list(spec.period)), ","))
     return counts.agg(
         F.sum("filas").alias("rows_scanned"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,9 +38,14 @@ def local_session(cpus: int | str = 8, app: str = "cubeloom", **conf: str) -> Sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where none is configured."""
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
+
+    Only a local master, whose driver is its one executor, may do without.
+    """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         if "dir" not in _fallback:
             _fallback["dir"] = tempfile.mkdtemp(prefix="cubeloom-")
         folder = _fallback["dir"]
@@ -59,14 +65,3 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
-def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-distribute a scan that has fewer splits than the cluster has cores.
-
-    A small file with a single row group is one task whatever its number of
-    columns.  Large tables have more splits than cores and stay as they are.
-    """
-    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(*keys)

@@ -370,6 +370,7 @@ def _profile_columns_sql() -> str:
          FROM (SELECT n, count(*) AS k FROM (SELECT CASE WHEN upper(trim({q(c)}))
          NOT IN ('', 'NAN', 'NONE') THEN upper(trim({q(c)})) END AS n FROM raw) GROUP BY n
          ORDER BY k DESC, n NULLS FIRST LIMIT 5)) AS top_valores,
+        {big("0", "no_finitos")},
         CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS media
         FROM (SELECT {q(c)}, CASE WHEN upper(trim({q(c)})) NOT IN ('', 'NAN', 'NONE')
         THEN upper(trim({q(c)})) END AS n FROM raw)"""
@@ -378,6 +379,7 @@ def _profile_columns_sql() -> str:
         return f"""SELECT '{c}', {big(f"count(*) - count({c})", "a")},
         ROUND((count(*) - count({c})) * 1.0 / count(*) * 100, 2),
         {big(f"count(DISTINCT {c})", "b")}, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), NULL,
+        {big("0", "z")},
         {dbl(f"MIN({c})", "d")}, {dbl(f"MAX({c})", "e")},
         ROUND(CAST(SUM({c}) AS DOUBLE) / count({c}), 2) FROM raw"""
 
@@ -459,6 +461,7 @@ def value_counts_top3(spark, sf):
 
 
 _SOURCE_DIMS = (P, "ptpd", "rango_edad", "cve_municipio", "sector_economico_4", "sexo")
+_SOURCE_NUMBERS = ("ta", "masa_sal_ta")
 _BAD_JOBS = "CASE WHEN no_trabajadores = 5 THEN 'n/d' WHEN no_trabajadores = 6 THEN ' ' ELSE {} END"
 
 
@@ -468,23 +471,29 @@ def _source_profile_sql() -> str:
         return f"""SELECT '{c}' AS columna,
         {big(f"count(*) FILTER (WHERE {v} <> '')", "non_empty_count")},
         {big(f"count(*) FILTER (WHERE {v} = '')", "empty_count")},
-        {big(f"least(count(DISTINCT nullif({v}, '')), 10000)", "distinct_count_limited")},
+        {big(f"count(DISTINCT nullif({v}, ''))", "distinct_count")},
         (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT {v} AS v FROM raw
          WHERE {v} <> '' ORDER BY v LIMIT 10)) AS sample_values,
         CAST(NULL AS BIGINT) AS numeric_parse_errors, CAST(NULL AS DOUBLE) AS min,
         CAST(NULL AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS sum FROM raw"""
 
+    paid = f"""SELECT 'masa_sal_ta', {big("count(masa_sal_ta)", "a")},
+    {big("count(*) - count(masa_sal_ta)", "b")}, CAST(NULL AS BIGINT), NULL, {big("0", "c")},
+    {dbl("MIN(masa_sal_ta)", "d")}, {dbl("MAX(masa_sal_ta)", "e")},
+    {dbl("SUM(masa_sal_ta)", "f")} FROM raw"""
     good = "CASE WHEN no_trabajadores NOT IN (5, 6) THEN ta END"
     number = f"""SELECT 'ta', {big("count(*) FILTER (WHERE no_trabajadores <> 6)", "a")},
     {big("count(*) FILTER (WHERE no_trabajadores = 6)", "b")}, CAST(NULL AS BIGINT), NULL,
     {big("count(*) FILTER (WHERE no_trabajadores = 5)", "c")},
     {dbl(f"MIN({good})", "d")}, {dbl(f"MAX({good})", "e")}, {dbl(f"SUM({good})", "f")} FROM raw"""
-    return over("raw", " UNION ALL ".join([*[dim(c) for c in _SOURCE_DIMS], number]))
+    return over("raw", " UNION ALL ".join([*[dim(c) for c in _SOURCE_DIMS], number, paid]))
 
 
 @query("source_profile", _source_profile_sql())
 def source_profile(spark, sf):
     """Text columns of the source; fifth lines carry bad numbers and sixth lines none."""
-    raw = star_cube(spark, sf, (*_SOURCE_DIMS, "no_trabajadores", "ta"))
+    raw = star_cube(spark, sf, (*_SOURCE_DIMS, "no_trabajadores", *_SOURCE_NUMBERS))
     jobs = F.expr(_BAD_JOBS.format("CAST(ta AS STRING)"))
-    return PR.source_profile(raw.withColumn("ta", jobs), list(_SOURCE_DIMS), ["ta"])
+    return PR.source_profile(
+        raw.withColumn("ta", jobs), list(_SOURCE_DIMS), list(_SOURCE_NUMBERS)
+    )

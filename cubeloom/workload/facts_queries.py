@@ -566,14 +566,14 @@ def batch_plan(spark, sf):
     "batch_select",
     over(
         "raw",
-        f"""SELECT {P}, recommended_action, CAST(rn AS INTEGER) AS position, rn <= 3 AS selected FROM (
+        f"""SELECT {P}, recommended_action, CAST(rn AS INTEGER) AS position, rn <= 5 AS selected FROM (
         SELECT *, row_number() OVER (ORDER BY {P}) AS rn FROM marked
         WHERE recommended_action IN ('download_process_load', 'validate_process_load'))""",
         **_PLAN,
     ),
 )
 def batch_select(spark, sf):
-    return B.batch_select(_plan(spark, sf))
+    return B.batch_select(_plan(spark, sf), 5)
 
 
 @query(

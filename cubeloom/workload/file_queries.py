@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from cubeloom.functions.numbers import exact_sum, from_units, number_column, unit_sum
+from cubeloom.functions.numbers import exact_sum, number_column
 from cubeloom.operators.audit import layout_report as report_layout
 from cubeloom.operators.cube import cube_aggregate, merge_cubes
 from cubeloom.session import fresh_path
@@ -217,6 +217,6 @@ def incremental_ingest(spark, sf):
         )
     return history.read().groupBy(P).agg(
         F.count("*").alias("filas"),
-        from_units(unit_sum(F.col("ta"))).alias("ta"),
-        from_units(unit_sum(F.col("masa_sal_ta"))).alias("masa_sal_ta"),
+        exact_sum(F.col("ta")).alias("ta"),
+        exact_sum(F.col("masa_sal_ta")).alias("masa_sal_ta"),
     )

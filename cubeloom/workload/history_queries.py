@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cubeloom.functions.numbers import exact_sum
 from cubeloom.operators import history as H
 from cubeloom.operators.audit import fact_constraint_violations, light_period_audit
 from cubeloom.operators.cube import cube_aggregate
@@ -243,8 +244,8 @@ def insert_only_history(spark, sf):
     results, _ = history.publish(cube)
     stored = history.read().groupBy(P).agg(
         F.count("*").alias("rows_in_history"),
-        H.unit_sum(F.col("ta")).alias("_ta"),
-        H.unit_sum(F.col("masa_sal_ta")).alias("_m"),
+        exact_sum(F.col("ta")).alias("ta"),
+        exact_sum(F.col("masa_sal_ta")).alias("masa_sal_ta"),
     )
     return results.join(stored, P).select(
         P,
@@ -252,8 +253,8 @@ def insert_only_history(spark, sf):
         "rows_processed",
         "rows_loaded",
         "rows_in_history",
-        (F.col("_ta") / H.UNITS_PER_ONE).alias("ta"),
-        (F.col("_m") / H.UNITS_PER_ONE).alias("masa_sal_ta"),
+        "ta",
+        "masa_sal_ta",
     )
 
 

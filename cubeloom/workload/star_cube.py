@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubeloom.session import spread_small_scan
 from cubeloom.spec import DEFAULT_SPEC, MEASURES, RAW_DIMS
 
 # table -> (join keys of lineitem side, key of table, tables it hangs on)
@@ -111,7 +110,10 @@ def star_cube(
     for name in wanted:
         for lookup in DIMS[name][1] if name in DIMS else ():
             needed += [*LOOKUPS[lookup][2], lookup]
-    lineitem = spread_small_scan(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    lineitem = table(spark, sf_dir, "lineitem")
+    if "orders" in needed:
+        # the shuffle that a join with large orders needs anyhow, and which it then reuses
+        lineitem = lineitem.repartition("l_orderkey")
 
     def join(rows: DataFrame, name: str) -> DataFrame:
         here, there, _ = LOOKUPS[name]

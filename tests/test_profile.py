@@ -41,12 +41,20 @@ def test_null_counts_are_sorted_and_limited(people):
     assert [tuple(r) for r in PR.null_counts(people, top=1).collect()] == [("name", 2)]
 
 
-def test_source_profile_may_be_bounded(spark):
-    df = spark.range(20).select(F.col("id").cast("string").alias("d"), F.lit("x").alias("ta"))
+def test_source_profile_counts_all_distinct_values(spark):
+    df = spark.range(12_000).select(F.col("id").cast("string").alias("d"), F.lit("x").alias("ta"))
     dim, number = PR.source_profile(df, ["d"], ["ta"]).orderBy("columna").collect()
-    assert (dim.distinct_count_limited, dim.sample_values.count(",")) == (20, 9)
-    assert (number.numeric_parse_errors, number.sum, number.min) == (20, 0.0, None)
-    assert PR.source_profile(df, ["d"], [], max_rows=5).first().non_empty_count == 5
+    assert (dim.distinct_count, dim.sample_values.count(",")) == (12_000, 9)
+    assert (number.numeric_parse_errors, number.sum, number.min) == (12_000, 0.0, None)
+    few = PR.source_profile(df, ["d"], [], samples=3).first()
+    assert few.sample_values == "0,1,10" and few.non_empty_count == 12_000
+
+
+def test_profile_of_large_and_infinite_numbers(spark):
+    df = spark.createDataFrame([(1e15, float("inf")), (3e15, 2.0), (1e15, None)], "a double, b double")
+    rows = {r.columna: r for r in PR.column_profile(df).collect()}
+    assert (rows["a"].media, rows["a"].no_finitos) == (1666666666666666.75, 0)
+    assert (rows["b"].media, rows["b"].max, rows["b"].no_finitos) == (2.0, 2.0, 1)
 
 
 def test_month_end_calendar(spark):
@@ -84,11 +92,12 @@ def test_batch_rules(spark, raw, control, status, rows, action):
     assert (row.recommended_action, row.blocked) == (action, action.startswith("blocked"))
 
 
-def test_batch_select_keeps_its_cap(spark):
+def test_batch_select_takes_any_number(spark):
     plan = spark.createDataFrame([("2025-01-31", "validate_process_load", False)], f"{P} string, recommended_action string, blocked boolean")
     assert B.batch_select(plan, 1).first().selected
-    with pytest.raises(ValueError, match="between 1 and 3"):
-        B.batch_select(plan, 4)
+    assert B.batch_select(plan, 40).first().selected
+    with pytest.raises(ValueError, match="at least 1"):
+        B.batch_select(plan, 0)
 
 
 def test_year_over_year_counts_rows_and_not_months(spark):

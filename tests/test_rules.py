@@ -1,11 +1,14 @@
 """Value rules, with the traps that pandas, ANSI SQL and Spark treat differently."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from cubeloom.functions import text
-from cubeloom.functions.numbers import exact_sum, parse_number, safe_ratio
+from cubeloom.functions.numbers import exact_sum, parse_number, safe_ratio, unit_sum
 from cubeloom.operators import normalize as N
+from cubeloom.operators.cube import cube_aggregate
 from cubeloom.spec import DEFAULT_SPEC as SPEC
 
 
@@ -100,10 +103,32 @@ def test_sums_do_not_depend_on_the_order_of_rows(spark):
     assert total == [120.0, 120.0]
 
 
-def test_sum_overflow_is_an_error_and_not_a_wrong_number(spark):
-    df = spark.createDataFrame([(9e14,), (9e14,)], "v double")
-    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW|overflow"):
-        df.agg(exact_sum(F.col("v"))).collect()
+def total_of(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    return df.agg(exact_sum(F.col("v"))).first()[0]
+
+
+def test_sums_have_no_largest_total_and_no_smallest_value(spark):
+    assert total_of(spark, [9e14, 9e14]) == 1.8e15
+    assert total_of(spark, [1e12] * 2_000) == 2e15
+    assert total_of(spark, [1e15, 0.25, -1e15]) == 0.25
+    assert total_of(spark, [0.00004] * 3) == 0.00012
+    assert total_of(spark, [1e6 + 0.123456, 0.1, None]) == 1000000.223456
+    assert total_of(spark, [None]) is None
+    assert total_of(spark, [1.0, float("inf")]) == float("inf")
+    assert math.isnan(total_of(spark, [1.0, float("nan")]))
+
+
+def test_cube_sums_keep_small_amounts(spark, text_frame, raw_row):
+    cube = cube_aggregate(text_frame([raw_row(ta="0.00004"), raw_row(ta="0.00004"), raw_row(ta="1e12")]))
+    row = cube.first()
+    assert row.ta == 1e12 + 0.00008 and row.asegurados == 3.0
+
+
+def test_a_measure_that_is_not_finite_ends_a_cube_with_an_error(spark):
+    df = spark.createDataFrame([(float("inf"),)], "v double")
+    with pytest.raises(Exception, match="not finite"):
+        df.agg(unit_sum(F.col("v"))).collect()
 
 
 def test_staging_projection(text_frame, raw_row):
