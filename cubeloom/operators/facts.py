@@ -16,7 +16,6 @@ from cubeloom.functions.numbers import exact_sum
 from cubeloom.functions.text import strip
 from cubeloom.operators.history import latest_per_key
 from cubeloom.operators.normalize import fact_defaults
-from cubeloom.session import materialize
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 
@@ -24,27 +23,22 @@ def _periods(df: DataFrame, spec: CubeSpec) -> DataFrame:
     return df.select(spec.period).distinct()
 
 
-def period_list(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
-    """The periods of a large table, written out once.
-
-    Only the period column is read.  The written list has a known size, so a
-    join of wide rows to it is planned without a shuffle of those rows.
-    """
-    return materialize(_periods(df, spec), "periods")
-
-
 # ---------------------------------------------------------------- loads
 
 
 def rows_to_stage(
     staged_form: DataFrame,
     control: DataFrame,
-    staging: DataFrame,
+    staged: DataFrame,
     spec: CubeSpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """Rows of periods that have a control row and nothing in staging yet."""
+    """Rows of periods that have a control row and are not among the ``staged`` periods.
+
+    The period lists are period-level tables (commit rows, say), so that the wide rows are
+    joined without a shuffle of their own.
+    """
     return staged_form.join(_periods(control, spec), spec.period, "left_semi").join(
-        period_list(staging, spec), spec.period, "left_anti"
+        _periods(staged, spec), spec.period, "left_anti"
     )
 
 
@@ -84,11 +78,11 @@ def staging_outcome(
 
 
 def rows_to_promote(
-    staging: DataFrame, control: DataFrame, facts: DataFrame, spec: CubeSpec = DEFAULT_SPEC
+    staging: DataFrame, control: DataFrame, present: DataFrame, spec: CubeSpec = DEFAULT_SPEC
 ) -> DataFrame:
-    """Staged rows with fact defaults, for controlled periods without facts."""
+    """Staged rows with fact defaults, for controlled periods that are not ``present`` yet."""
     eligible = staging.join(_periods(control, spec), spec.period, "left_semi").join(
-        period_list(facts, spec), spec.period, "left_anti"
+        _periods(present, spec), spec.period, "left_anti"
     )
     return fact_defaults(eligible.select(*staging.columns), spec)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from cubeloom.operators.audit import audit_of, fact_constraint_violations
 from cubeloom.operators.facts import rows_to_promote, rows_to_stage
 from cubeloom.operators.history import (
+    MESSAGES,
     compare_periods,
     fingerprint_of,
     period_fingerprint,
@@ -74,21 +76,17 @@ def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def write_periods(rows: DataFrame, path: str, spec: CubeSpec = DEFAULT_SPEC) -> None:
-    """Write whole periods; those of ``rows`` are replaced, so a repeated attempt adds nothing."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
-        "compression", "zstd"
-    ).partitionBy(spec.period).parquet(path)
+ATTEMPT = "attempt"
 
 
 @dataclass
-class PeriodHistory:
-    """An append-only table of periods below ``path``.
+class PeriodTable:
+    """Periods below ``path``, each written once and never moved.
 
-    ``data`` holds the rows by period, ``commits`` one row per published period
-    with its row count and fingerprint.  Only committed periods are read, and
-    the commit row is written last: a run that dies in between leaves rows that
-    nobody sees and that the next run replaces.  One writer at a time.
+    ``data`` holds the rows of every write attempt by period, ``commits`` one row per period
+    that names the attempt which counts.  The commit rows are written last, so a run that dies
+    in between leaves rows that nobody sees; :meth:`discard_uncommitted` deletes them.  One
+    writer at a time.
     """
 
     spark: SparkSession
@@ -103,98 +101,213 @@ class PeriodHistory:
     def commits_path(self) -> str:
         return f"{self.path}/commits"
 
+    def attempt_path(self, attempt: str) -> str:
+        return f"{self.data_path}/{ATTEMPT}={attempt}"
+
     def commits(self) -> DataFrame | None:
-        """Committed periods with the fingerprint fields, or None before the first publish."""
         return read_if_written(self.spark, self.commits_path)
 
-    def read(self, period: str | None = None) -> DataFrame:
+    def periods(self) -> DataFrame:
+        """The committed periods, from the commit rows."""
         commits = self.commits()
         if commits is None:
-            raise ValueError(f"no period was published to {self.path}")
-        rows = read_period_table(self.spark, self.data_path, period, self.spec)
-        return rows.join(commits.select(self.spec.period), self.spec.period, "left_semi").select(
-            *rows.columns
+            return self.spark.createDataFrame([], f"`{self.spec.period}` string")
+        return commits.select(self.spec.period)
+
+    def write(self, rows: DataFrame) -> str:
+        # a letter first, so that it is never read as a number
+        attempt = f"a{uuid.uuid4().hex}"
+        rows.write.option("compression", "zstd").partitionBy(self.spec.period).parquet(
+            self.attempt_path(attempt)
+        )
+        return attempt
+
+    def written(self, attempt: str, columns: list[str]) -> DataFrame:
+        """Rows of one attempt, committed or not; none if it wrote none."""
+        rows = read_if_written(self.spark, self.attempt_path(attempt))
+        if rows is None:
+            fields = ", ".join(f"`{c}` string" for c in columns)
+            return self.spark.createDataFrame([], fields)
+        return rows.withColumn(self.spec.period, F.col(self.spec.period).cast("string")).select(
+            *columns
         )
 
+    def commit(self, periods: DataFrame, attempt: str, columns: list[str]) -> None:
+        """``periods`` has one row per period; what else it says is kept with the commit."""
+        periods.withColumns(
+            {ATTEMPT: F.lit(attempt), "columns": F.array(*[F.lit(c) for c in sorted(columns)])}
+        ).coalesce(1).write.mode("append").parquet(self.commits_path)
+
+    def columns(self) -> list[str] | None:
+        """The stored columns, sorted; None before the first commit."""
+        commits = self.commits()
+        first = None if commits is None else commits.select("columns").first()
+        return None if first is None else list(first[0])
+
+    def read(self, period: str | None = None) -> DataFrame | None:
+        """Committed rows; None before the first commit."""
+        commits = self.commits()
+        if commits is None:
+            return None
+        rows = read_period_table(self.spark, self.data_path, period, self.spec)
+        names = [c for c in rows.columns if c != ATTEMPT]
+        counted = commits.select(ATTEMPT, self.spec.period)
+        return rows.join(counted, [ATTEMPT, self.spec.period], "left_semi").select(*names)
+
+    def discard_uncommitted(self) -> list[str]:
+        """Delete the attempts that no commit row names; returns their names.
+
+        Listing and deleting go through the session's own file-system settings.
+        """
+        commits = self.commits()
+        kept = set() if commits is None else {r[0] for r in commits.select(ATTEMPT).distinct().collect()}
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.data_path)
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not system.exists(folder):
+            return []
+        gone = []
+        for entry in system.listStatus(folder):
+            attempt = entry.getPath().getName().removeprefix(f"{ATTEMPT}=")
+            if attempt not in kept and entry.getPath().getName() != attempt:
+                system.delete(entry.getPath(), True)
+                gone.append(attempt)
+        return gone
+
+
+@dataclass
+class PeriodHistory:
+    """An append-only table of periods; its commit rows keep row count and fingerprint."""
+
+    spark: SparkSession
+    path: str
+    spec: CubeSpec = DEFAULT_SPEC
+
+    @property
+    def table(self) -> PeriodTable:
+        return PeriodTable(self.spark, self.path, self.spec)
+
+    @property
+    def data_path(self) -> str:
+        return self.table.data_path
+
+    def commits(self) -> DataFrame | None:
+        """Committed periods with the fingerprint fields, or None before the first publish."""
+        return self.table.commits()
+
+    def read(self, period: str | None = None) -> DataFrame:
+        rows = self.table.read(period)
+        if rows is None:
+            raise ValueError(f"no period was published to {self.path}")
+        return rows
+
     def period_counts(self) -> DataFrame:
         return self.read().groupBy(self.spec.period).agg(F.count("*").alias("filas"))
 
+    def _refused(self, candidate: DataFrame) -> DataFrame:
+        """Results of a candidate whose columns are not those of the history."""
+        return (
+            candidate.groupBy(self.spec.period)
+            .agg(F.count("*").alias("rows_processed"))
+            .select(
+                self.spec.period,
+                F.lit("failed_processing").alias("status"),
+                "rows_processed",
+                F.lit(None).cast("bigint").alias("rows_existing"),
+                F.lit(0).cast("bigint").alias("rows_loaded"),
+                F.lit(None).cast("string").alias("period_fingerprint_hash"),
+                F.lit("failed").alias("audit_status"),
+                F.lit(MESSAGES["other_columns"]).alias("error"),
+            )
+        )
+
     def publish(
         self, candidate: DataFrame, expected: DataFrame | None = None
     ) -> tuple[DataFrame, DataFrame]:
         """Audit, compare and append the new periods; returns period results and the run summary.
 
-        The candidate is computed once into a written table.  Existing periods
-        are compared by the fingerprint in their commit row.
+        The candidate is written once, where it stays if it is committed.  Existing periods are
+        compared by the fingerprint in their commit row.  A candidate with other columns than
+        the history is refused before anything is written.
         """
-        spec = self.spec
-        staged = materialize(by_period(candidate, spec), "candidate", partition_by=spec.period)
-        rollup = materialize(period_rollup(staged, spec=spec), "rollup")
+        spec, table = self.spec, self.table
+        stored = table.columns()
+        if stored is not None and stored != sorted(candidate.columns):
+            results = materialize(self._refused(candidate), "results")
+            return results, run_status(results, spec)
+        attempt = table.write(by_period(candidate, spec))
+        written = table.written(attempt, candidate.columns)
+        rollup = materialize(period_rollup(written, spec=spec), "rollup")
         prints = fingerprint_of(rollup, spec)
-        audit = audit_of(rollup, staged.columns, expected, spec)
+        audit = audit_of(rollup, candidate.columns, expected, spec)
         comparison = compare_periods(prints, self.commits(), expected, spec)
         results = materialize(period_results(comparison, audit, spec), "results")
 
         new = results.filter(F.col("status") == "success_loaded").select(spec.period)
         if not new.isEmpty():
-            # the staged files are laid out by period already, so this is a plain copy
-            rows = staged.join(new, spec.period, "left_semi").select(*candidate.columns)
-            write_periods(rows, self.data_path, spec)
-            prints.join(new, spec.period, "left_semi").select(*prints.columns).coalesce(
-                1
-            ).write.mode("append").parquet(self.commits_path)
+            table.commit(
+                prints.join(new, spec.period, "left_semi").select(*prints.columns),
+                attempt,
+                candidate.columns,
+            )
         return results, run_status(results, spec)
 
     def publish_checked(self, candidate: DataFrame) -> DataFrame:
-        """Publish, then verify the written periods; one row of checks per published period."""
+        """Publish, then verify the written periods; one row of checks per published period.
+
+        Old periods are counted by their commit rows, new ones by what was really written.
+        """
         spec = self.spec
-        empty = self.spark.createDataFrame([], f"`{spec.period}` string, filas bigint")
-        before = (
-            empty if self.commits() is None else materialize(self.period_counts(), "before")
-        )
+        commits = self.commits()
+        if commits is None:
+            before = self.spark.createDataFrame([], f"`{spec.period}` string, filas bigint")
+        else:
+            before = materialize(
+                commits.select(spec.period, F.col("row_count").alias("filas")), "before"
+            )
         results, _ = self.publish(candidate)
         loaded = results.filter(F.col("status") == "success_loaded")
-        after = self.period_counts()
+        written = self.read().join(loaded.select(spec.period), spec.period, "left_semi")
+        prints = materialize(period_fingerprint(written, spec), "written")
+        after = before.unionByName(prints.select(spec.period, F.col("row_count").alias("filas")))
         inserted = loaded.select(
             spec.period,
             F.col("rows_processed").alias("expected"),
             F.col("rows_loaded").alias("inserted"),
         )
-        # fingerprint of what was really written, against that of the candidate
-        written = self.read().join(loaded.select(spec.period), spec.period, "left_semi")
         again = compare_periods(
             loaded.select(
                 spec.period,
                 F.col("rows_processed").alias("row_count"),
                 F.col("period_fingerprint_hash").alias("fingerprint_sha256"),
             ),
-            period_fingerprint(written, spec),
+            prints,
             spec=spec,
         )
         return publish_post_checks(before, inserted, after, again, spec)
 
 
 class ConstraintError(ValueError):
-    """Rows that the facts may not contain; nothing was written."""
+    """Rows that the facts may not contain; nothing was committed."""
 
 
 @dataclass
 class FactTables:
-    """Staging and facts below ``path``, both partitioned by period and insert-only."""
+    """Staging and facts below ``path``, both by period, insert-only and committed."""
 
     spark: SparkSession
     path: str
     spec: CubeSpec = DEFAULT_SPEC
 
+    def table(self, name: str) -> PeriodTable:
+        return PeriodTable(self.spark, f"{self.path}/{name}", self.spec)
+
     def _read(self, name: str) -> DataFrame:
-        schema = empty_table(self.spark, name, self.spec)
-        if read_if_written(self.spark, f"{self.path}/{name}") is None:
-            return schema
-        return (
-            self.spark.read.schema(schema.schema)
-            .parquet(f"{self.path}/{name}")
-            .select(*schema.columns)
-        )
+        empty = empty_table(self.spark, name, self.spec)
+        rows = self.table(name).read()
+        if rows is None:
+            return empty
+        return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in empty.schema])
 
     def staging(self) -> DataFrame:
         return self._read("staging")
@@ -202,18 +315,32 @@ class FactTables:
     def facts(self) -> DataFrame:
         return self._read("facts")
 
+    def _append(self, name: str, rows: DataFrame, check=None) -> None:
+        """Write, check what was written, then commit its periods."""
+        table = self.table(name)
+        attempt = table.write(rows)
+        written = table.written(attempt, rows.columns)
+        if check is not None:
+            check(written)
+        counts = written.groupBy(self.spec.period).agg(F.count("*").alias("filas"))
+        table.commit(counts, attempt, rows.columns)
+
     def load_staging(self, source: DataFrame, control: DataFrame, run_id: str) -> None:
         """Stage the periods of ``source`` that have a control row and are not staged yet."""
         rows = staging_projection(source, run_id, self.spec)
-        new = rows_to_stage(rows, control, self.staging(), self.spec)
-        write_periods(by_period(new, self.spec), f"{self.path}/staging", self.spec)
+        new = rows_to_stage(rows, control, self.table("staging").periods(), self.spec)
+        self._append("staging", by_period(new, self.spec))
 
     def promote(self, control: DataFrame) -> None:
-        """Promote staged periods without facts, or raise and write nothing."""
-        rows = rows_to_promote(self.staging(), control, self.facts(), self.spec)
-        broken = fact_constraint_violations(rows, self.spec)
-        # at most two rows per period
-        found = [f"{r[0]} {r[1]}: {r[2]} rows" for r in broken.orderBy(*broken.columns).collect()]
-        if found:
-            raise ConstraintError("; ".join(found))
-        write_periods(rows, f"{self.path}/facts", self.spec)
+        """Promote staged periods without facts; raises and commits nothing on a broken rule."""
+
+        def check(rows: DataFrame) -> None:
+            broken = fact_constraint_violations(rows, self.spec)
+            # at most two rows per period
+            found = [f"{r[0]} {r[1]}: {r[2]} rows" for r in broken.orderBy(*broken.columns).collect()]
+            if found:
+                raise ConstraintError("; ".join(found))
+
+        present = self.table("facts").periods()
+        rows = rows_to_promote(self.staging(), control, present, self.spec)
+        self._append("facts", rows, check)

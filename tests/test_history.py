@@ -113,10 +113,37 @@ def test_rows_of_a_broken_run_are_invisible_and_replaced(spark, cube_of):
     history = PeriodHistory(spark, fresh_path(spark, "t"))
     publish(history, cube_of({P: "2025-01-31"}))
     torn = cube_of({P: "2025-02-28"}, {P: "2025-02-28", "sexo": "2"})
-    torn.write.mode("append").partitionBy(P).parquet(history.data_path)  # no commit row
+    attempt = history.table.write(torn)  # no commit row
     assert history.read().count() == 1
     publish(history, cube_of({P: "2025-02-28"}))
     assert history.read("2025-02-28").count() == 1
+    assert history.table.discard_uncommitted() == [attempt]
+    assert history.read().count() == 2
+
+
+def test_a_candidate_with_other_columns_is_refused(spark, cube_of):
+    history = PeriodHistory(spark, fresh_path(spark, "t"))
+    publish(history, cube_of({P: "2025-01-31"}))
+    for other in (cube_of({P: "2025-02-28"}).withColumn("extra", F.lit(1)), cube_of({P: "2025-02-28"}).drop("tec_sal")):
+        results, summary = history.publish(other)
+        row = results.first()
+        assert (row.status, row.rows_loaded) == ("failed_processing", 0) and "columns" in row.error
+        assert summary.first().status == "failed"
+    assert history.read().count() == 1
+    status, _ = publish(history, cube_of({P: "2025-02-28"}).select(*reversed(cube_of({}).columns)))
+    assert status == {"2025-02-28": "success_loaded"}
+
+
+def test_torn_writes_of_staging_and_facts_are_invisible(spark, cube_of):
+    control = spark.createDataFrame([("2025-01-31",)], f"{P} string")
+    tables = FactTables(spark, fresh_path(spark, "facts"))
+    half = N.staging_projection(cube_of({P: "2025-01-31"}), "torn")
+    tables.table("staging").write(half)
+    tables.table("facts").write(half)
+    assert tables.staging().isEmpty() and tables.facts().isEmpty()
+    tables.load_staging(cube_of({P: "2025-01-31"}, {P: "2025-01-31", "sexo": "2"}), control, "run-2")
+    tables.promote(control)
+    assert {r.run_id for r in tables.staging().collect()} == {"run-2"} and tables.facts().count() == 2
 
 
 def test_publish_checked(spark, cube_of):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cubeloom.operators import audit as A
 from cubeloom.operators import facts as L
 from cubeloom.operators.cube import cube_aggregate
-from cubeloom.session import fresh_path
+from cubeloom.session import fresh_path, materialize
 from cubeloom.sources.tables import read_period_table, write_parquet
 from cubeloom.spec import DEFAULT_SPEC as SPEC
 from cubeloom.workload import QUERIES
@@ -70,6 +70,6 @@ def test_wide_rows_are_not_shuffled_to_find_new_periods(spark, sf_dir):
     path = fresh_path(spark, "t")
     write_parquet(rows, path)
     stored = spark.read.parquet(path)
-    control = L.period_list(stored)
-    text = plan(L.rows_to_stage(stored, control, stored.filter(F.col(P) < "1997")))
+    periods = materialize(stored.select(P).distinct(), "periods")
+    text = plan(L.rows_to_stage(stored, periods, periods.filter(F.col(P) < "1997")))
     assert "SortMergeJoin" not in text and "LeftAnti" in text
