@@ -33,7 +33,8 @@ def number_column(df: DataFrame, name: str, default: float | None = None) -> Col
 
 PLAIN_BELOW = 1e7  # of values that BIGINT sums take: 90 million of the largest fit
 NOISE = 2.0**-51  # of a double beside the decimal it stands for
-REST = "decimal(38,14)"  # ten-thousandths with 14 more decimals, for values below 1e20
+REST = "decimal(38,14)"  # ten-thousandths with 14 more decimals
+VALUE = "decimal(38,18)"  # values below 1e20; the shortest decimal that a double stands for
 LIMB = 20  # bits of the low part of sums that may pass the BIGINT range
 
 
@@ -56,15 +57,17 @@ def units(col: Column) -> Column:
 
 
 def rest(col: Column) -> Column:
-    """Ten-thousandths of more decimals or digits, as DECIMAL; not finite is an error."""
-    value = (col * F.lit(float(UNITS_PER_ONE))).cast(REST)
+    """Values of more decimals or digits, as DECIMAL; not finite is an error."""
     error = F.raise_error(F.concat(F.lit("a measure is not finite: "), col.cast("string")))
-    return F.when(~_is_plain(col), F.when(_is_finite(col), value).otherwise(error.cast(REST)))
+    value = F.when(_is_finite(col), col.cast(VALUE)).otherwise(error.cast(VALUE))
+    return F.when(~_is_plain(col), value)
 
 
 def joined_units(plain: Column, others: Column) -> Column:
     """Ten-thousandths as DECIMAL from sums of both kinds; null if there is neither."""
-    both = F.coalesce(plain.cast(REST), F.lit(0)) + F.coalesce(others, F.lit(0))
+    # moved by its point, as a product would have too many digits
+    moved = F.concat(others.cast("string"), F.lit("e4")).cast(REST)
+    both = F.coalesce(plain.cast(REST), F.lit(0)) + F.coalesce(moved, F.lit(0))
     return F.when(plain.isNotNull() | others.isNotNull(), both.cast(REST))
 
 

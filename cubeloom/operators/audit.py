@@ -7,18 +7,21 @@ rollup once (``materialize``) to serve all of them from a single scan.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cubeloom.functions.numbers import (
-    UNITS_PER_ONE,
     exact_sum,
+    from_exact,
     number_column,
     safe_ratio,
     wide_unit_sum,
 )
 from cubeloom.functions.text import WHITESPACE, strip
 from cubeloom.operators.history import period_rollup
+from cubeloom.session import materialize
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 # ---------------------------------------------------------------- summaries
@@ -60,7 +63,7 @@ def _again(name: str) -> Column:
 
 
 def _value(col: Column) -> Column:
-    return col.cast("double") / F.lit(float(UNITS_PER_ONE))
+    return from_exact(col)
 
 
 def _sum(name: str) -> Column:
@@ -165,6 +168,7 @@ def ratio_validation(rollup: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFr
     )
 
 
+# The names of the reports.
 AUDIT_REPORTS = {
     "summary_general": summary_general,
     "summary_by_period": summary_by_period,
@@ -175,6 +179,38 @@ AUDIT_REPORTS = {
     "ptpd_sbc_by_period": flag_ratio_by_period,
 }
 
+
+
+def deep_audit(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> dict[str, DataFrame]:
+    """All summary reports by name, from one scan of the cube.
+
+    The rollup (one row per period and flag) is written once; every report reads only that.
+    """
+    rollup = materialize(audit_rollup(cube, spec), "audit-rollup")
+    return {name: report(rollup, spec=spec) for name, report in AUDIT_REPORTS.items()}
+
+
+def long_report(reports: dict[str, DataFrame], spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """The numbers of several reports as (reporte, clave, metrica, valor); missing ones have no row."""
+
+    def stacked(name: str, report: DataFrame) -> DataFrame:
+        key = next((c for c in (spec.period, spec.flag) if c in report.columns), None)
+        numbers = [
+            c for c, kind in report.dtypes if c != key and not kind.startswith(("string", "date"))
+        ]
+        clave = F.lit("") if key is None else F.coalesce(F.col(key), F.lit(""))
+        return (
+            report.select(clave.alias("clave"), *[F.col(c).cast("double").alias(c) for c in numbers])
+            .unpivot("clave", numbers, "metrica", "valor")
+            .where(F.col("valor").isNotNull())
+            .select(F.lit(name).alias("reporte"), "clave", "metrica", "valor")
+        )
+
+    return reduce(
+        lambda a, b: a.unionByName(b), [stacked(n, r) for n, r in reports.items()]
+    )
+
+
 # ---------------------------------------------------------------- keys
 
 

@@ -304,13 +304,6 @@ def run_status(results: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     )
 
 
-def rows_to_insert(
-    candidate: DataFrame, history_periods: DataFrame, spec: CubeSpec = DEFAULT_SPEC
-) -> DataFrame:
-    """Candidate rows of periods the history does not hold yet."""
-    return candidate.join(history_periods.select(spec.period).distinct(), spec.period, "left_anti")
-
-
 def publish_post_checks(
     before: DataFrame,
     inserted: DataFrame,
@@ -390,12 +383,36 @@ def dedup_ignore_metadata(
     )
 
 
-def multiset_difference(
+def multiset_surplus(
     left: DataFrame, right: DataFrame, ignore: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Rows of ``left`` that ``right`` lacks, repeated rows counted, by column name."""
+    """Distinct rows of ``left`` with how many more of each it has than ``right``, if any."""
     columns = [c for c in left.columns if c not in ignore]
-    return left.select(*columns).exceptAll(right.select(*columns))
+    more = left.select(*columns, F.lit(1).cast("bigint").alias("surplus"))
+    less = right.select(*columns, F.lit(-1).cast("bigint").alias("surplus"))
+    counted = more.unionByName(less).groupBy(*columns).agg(F.sum("surplus").alias("surplus"))
+    return counted.where("surplus > 0")
+
+
+SPAN = 10_000  # copies of a row that one task writes out at a time
+
+
+def multiset_difference(
+    left: DataFrame, right: DataFrame, ignore: tuple[str, ...] = ()
+) -> DataFrame:
+    """Rows of ``left`` that ``right`` lacks, repeated rows counted, by column name.
+
+    Copies are counted before the shuffle and written out after it, in spans that Spark deals
+    out evenly, so the copies of one row never come from one task.
+    """
+    counted = multiset_surplus(left, right, ignore)
+    columns = [c for c in counted.columns if c != "surplus"]
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("surplus") - 1, F.lit(SPAN).cast("bigint"))
+    spans = counted.withColumn("_at", F.explode(starts)).hint("rebalance")
+    size = F.least(F.lit(SPAN).cast("bigint"), F.col("surplus") - F.col("_at"))
+    return spans.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias("_n")).select(
+        *columns
+    )
 
 
 def distinct_keys(cube: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:

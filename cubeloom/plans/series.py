@@ -57,10 +57,13 @@ def latest_snapshot(
     payroll: str | None = None,
     spec: CubeSpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """Totals of the last period; its date comes from one MAX, so only it is aggregated."""
-    last = df.agg(F.max(F.col(spec.period).cast("date")).alias("periodo"))
-    rows = df.withColumn("periodo", F.col(spec.period).cast("date"))
-    return _totals(rows.join(last, "periodo", "left_semi"), value, "periodo", *dims, payroll=payroll)
+    """Totals of the last period, from one scan: all periods are aggregated, the last is picked.
+
+    The window has no partition; it sees one row per period and value of ``dims``.
+    """
+    totals = _totals(df, value, _period(spec), *dims, payroll=payroll)
+    last = F.max("periodo").over(Window.partitionBy(F.lit(0)))
+    return totals.withColumn("_last", last).where(F.col("periodo") == F.col("_last")).drop("_last")
 
 
 def sector_snapshot_ratio(
@@ -91,7 +94,15 @@ def top_k_entities(
 def top_k_rows(df: DataFrame, value: str, k: int = 15, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Last-period rows by entity and sex of the k largest entities."""
     snap = latest_snapshot(df, value, [spec.entity, spec.sex], spec=spec)
-    return snap.join(top_k_entities(df, value, k, spec), spec.entity, "left_semi").select(*snap.columns)
+    # sums of a few exact numbers; one row per entity and sex gets to the ranking
+    exact = F.col("asegurados").cast("decimal(28,4)")
+    whole = F.sum(exact).over(Window.partitionBy(spec.entity))
+    order = Window.partitionBy(F.lit(0)).orderBy(
+        F.col("_whole").desc_nulls_last(), F.col(spec.entity).asc_nulls_last()
+    )
+    ranked = snap.withColumn("_whole", whole).withColumn("_place", F.dense_rank().over(order))
+    return ranked.where((F.col("_place") <= k) & F.col(spec.entity).isNotNull()).select(*snap.columns)
+
 
 
 def conditional_ratio_by_month(

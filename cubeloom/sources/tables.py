@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubeloom.operators.audit import audit_of, fact_constraint_violations
+from cubeloom.operators.audit import audit_of, deep_audit, fact_constraint_violations
 from cubeloom.operators.facts import rows_to_promote, rows_to_stage
 from cubeloom.operators.history import (
     MESSAGES,
@@ -39,9 +39,22 @@ def by_period(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, separator: str = ",", mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", "true").option("sep", separator).option(
-        "nullValue", ""
-    ).option("emptyValue", "").option("escape", '"').csv(path)
+    """Texts are written as they are, blanks at their ends too; null and '' are both empty."""
+    df.write.mode(mode).options(
+        header="true",
+        sep=separator,
+        nullValue="",
+        emptyValue="",
+        escape='"',
+        ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false",
+    ).csv(path)
+
+
+def write_deep_audit(cube: DataFrame, folder: str, spec: CubeSpec = DEFAULT_SPEC) -> None:
+    """Every report of the deep audit as a CSV of its own below ``folder``."""
+    for name, report in deep_audit(cube, spec).items():
+        write_csv(report, f"{folder}/{name}", mode="overwrite")
 
 
 def write_parquet(

@@ -12,7 +12,7 @@ from cubeloom.operators.normalize import cube_rows
 from cubeloom.spec import DEFAULT_SPEC as SPEC
 from cubeloom.workload.cube_queries import P, _SBC, rows_with
 from cubeloom.workload.oracle import big, dbl, listed, over, sums
-from cubeloom.workload.registry import query
+from cubeloom.workload.registry import ORACLES, query
 from cubeloom.workload.star_cube import quoted as q
 from cubeloom.workload.star_cube import star_cube, table
 
@@ -154,6 +154,35 @@ def audit_ratio_validation(spark, sf):
     return A.ratio_validation(_rollup(spark, sf))
 
 
+def _deep_audit_sql() -> str:
+    """The reports above, as one long table."""
+    reports = {
+        "summary_general": ("audit_summary_general", None),
+        "summary_by_period": ("audit_summary_by_period", P),
+        "job_composition_by_period": ("audit_job_composition", P),
+        "salary_composition_by_period": ("audit_payroll_composition", P),
+        "sbc_validation": ("audit_ratio_validation", None),
+        "ptpd_distribution": ("audit_flag_distribution", "ptpd"),
+        "ptpd_sbc_by_period": ("audit_flag_ratio", P),
+    }
+
+    def stacked(report: str, name: str, key: str | None) -> str:
+        drop = [c for c in (key, *(("periodo_min", "periodo_max") if key is None and name.endswith("general") else ())) if c]
+        without = f" EXCLUDE ({listed(drop)})" if drop else ""
+        clave = f"coalesce({q(key)}, '')" if key else "''"
+        return f"""SELECT '{report}' AS reporte, clave, metrica, valor FROM (UNPIVOT (
+        SELECT {clave} AS clave, CAST(COLUMNS(*{without}) AS DOUBLE) FROM ({ORACLES[name]}))
+        ON COLUMNS(* EXCLUDE (clave)) INTO NAME metrica VALUE valor)"""
+
+    return " UNION ALL ".join(stacked(r, n, k) for r, (n, k) in reports.items())
+
+
+@query("deep_audit", _deep_audit_sql())
+def deep_audit(spark, sf):
+    """Seven reports from one scan."""
+    return A.long_report(A.deep_audit(_audited(spark, sf)))
+
+
 # ---------------------------------------------------------------- keys
 
 
@@ -392,17 +421,17 @@ def profile_columns(spark, sf):
     return PR.column_profile(star_cube(spark, sf, (*_PROFILED, *_COLUMN_NUMBERS)))
 
 
-_TABLE_COLUMNS = (P, "sexo", "ptpd", "rango_uma", "sector_economico_1", "ta")
+_TABLE_COLUMNS = (P, *SPEC.raw_dims, *SPEC.measures)
+_TABLE_NULLS = " + ".join(f"CASE WHEN {q(c)} IS NULL THEN 1 ELSE 0 END" for c in _TABLE_COLUMNS)
 
 
 @query(
     "profile_table",
     over(
         "raw",
-        f"""SELECT {big("SUM(n)", "total_registros")}, {big("6", "total_columnas")},
+        f"""SELECT {big("SUM(n)", "total_registros")}, {big(str(len(_TABLE_COLUMNS)), "total_columnas")},
         {big("SUM(n - 1)", "registros_duplicados")},
-        {big("SUM(n * ((CASE WHEN ptpd IS NULL THEN 1 ELSE 0 END) + "
-             "(CASE WHEN rango_uma IS NULL THEN 1 ELSE 0 END)))", "valores_nulos_total")} FROM g""",
+        {big(f"SUM(n * ({_TABLE_NULLS}))", "valores_nulos_total")} FROM g""",
         g=f"SELECT {listed(_TABLE_COLUMNS)}, count(*) AS n FROM raw GROUP BY {listed(_TABLE_COLUMNS)}",
     ),
 )
@@ -414,12 +443,15 @@ def profile_table(spark, sf):
     "duplicated_rows",
     over(
         "raw",
-        f"SELECT {listed(_TABLE_COLUMNS[:-1])}, {dbl('ta', 'ta')} FROM (SELECT *, count(*) OVER "
-        f"(PARTITION BY {listed(_TABLE_COLUMNS)}) AS n FROM raw) WHERE n > 1",
+        f"SELECT {listed((P, *SPEC.raw_dims))}, {listed(SPEC.measures, 'CAST({0} AS DOUBLE) AS {0}')} "
+        f"FROM (SELECT *, count(*) OVER (PARTITION BY {listed(_TABLE_COLUMNS)}) AS n "
+        "FROM (SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE no_trabajadores = 6)) WHERE n > 1",
     ),
 )
 def duplicated_rows(spark, sf):
-    return PR.duplicated_rows(star_cube(spark, sf, _TABLE_COLUMNS))
+    """Rows of all columns; sixth lines are delivered twice."""
+    rows = star_cube(spark, sf, _TABLE_COLUMNS)
+    return PR.duplicated_rows(rows.unionByName(rows.filter("no_trabajadores = 6")))
 
 
 _COUNTED = ("cve_entidad", "sexo", "rango_edad", "sector_economico_1", "rango_uma")

@@ -296,6 +296,37 @@ def cube_aggregate(spark, sf):
     return C.with_run_columns(cube, "star", "2001-12-01T00:00:00Z")
 
 
+@query(
+    "cube_small_amounts",
+    f"""SELECT CAST(last_day(CAST(l_shipdate AS DATE)) AS VARCHAR) AS {P}, l_returnflag,
+    CAST(CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)))
+      AS VARCHAR) || 'e-3' AS DOUBLE) AS ta,
+    CAST(CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)))
+      AS VARCHAR) || 'e-5' AS DOUBLE) AS masa_sal_ta,
+    count(*) AS filas FROM lineitem GROUP BY 1, 2""",
+)
+def cube_small_amounts(spark, sf):
+    """Measures of seven and nine decimals: nothing of them is rounded away."""
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+
+    def shifted(share: str, power: str):
+        """The nearest double of a product of decimals and a power of ten."""
+        product = price * F.col(share).cast("decimal(18,2)")
+        return F.concat(product.cast("string"), F.lit(power)).cast("double")
+
+    rows = table(spark, sf, "lineitem").select(
+        F.last_day(F.col("l_shipdate").cast("date")).cast("string").alias(P),
+        "l_returnflag",
+        shifted("l_tax", "e-3").alias("ta"),
+        shifted("l_discount", "e-5").alias("m"),
+    )
+    return rows.groupBy(P, "l_returnflag").agg(
+        exact_sum(F.col("ta")).alias("ta"),
+        exact_sum(F.col("m")).alias("masa_sal_ta"),
+        F.count("*").alias("filas"),
+    )
+
+
 SMALL = CubeSpec(
     raw_dims=("cve_entidad", "sexo", "rango_salarial", "sector_economico_1"),
     optional_in_files=(),
