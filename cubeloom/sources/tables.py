@@ -10,11 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubeloom.operators.audit import audit_of, deep_audit, fact_constraint_violations
-from cubeloom.operators.facts import rows_to_promote, rows_to_stage
+from cubeloom.operators.facts import (
+    existing_period_check,
+    finalize_control,
+    post_promotion_checks,
+    register_pending,
+    rows_to_promote,
+    rows_to_stage,
+)
 from cubeloom.operators.history import (
     MESSAGES,
     compare_periods,
     fingerprint_of,
+    latest_per_key,
     period_fingerprint,
     period_results,
     period_rollup,
@@ -328,6 +336,45 @@ class FactTables:
     def facts(self) -> DataFrame:
         return self._read("facts")
 
+    def control(self) -> DataFrame:
+        """The control table: of the rows written for a period, the last one."""
+        empty = empty_table(self.spark, "control", self.spec)
+        log = read_if_written(self.spark, f"{self.path}/control")
+        if log is None:
+            return empty
+        return latest_per_key(log, self.spec.period, [F.col("version").desc()]).select(*empty.columns)
+
+    def _log_control(self, rows: DataFrame) -> None:
+        """Control rows are added, never changed: a torn write adds none of them."""
+        log = read_if_written(self.spark, f"{self.path}/control")
+        last = 0 if log is None else log.agg(F.max("version")).first()[0] or 0
+        columns = empty_table(self.spark, "control", self.spec).columns
+        numbered = rows.select(*columns).withColumn("version", F.lit(last + 1))
+        # one row per month at most; written aside first, as it may be read from the same log
+        materialize(numbered, "control").coalesce(1).write.mode("append").parquet(
+            f"{self.path}/control"
+        )
+
+    def register(self, requested: DataFrame, run_id: str) -> None:
+        """Pending control rows for requested periods that are new to control and facts."""
+        commits = self.table("facts").commits()
+        if commits is None:
+            counts = self.spark.createDataFrame([], f"`{self.spec.period}` string, filas bigint")
+        else:
+            counts = commits.select(self.spec.period, "filas")
+        existing = existing_period_check(requested, self.control(), counts, self.spec)
+        self._log_control(register_pending(existing, run_id, spec=self.spec))
+
+    def finalize(self, run_id: str) -> DataFrame:
+        """Check the promoted periods and mark those that pass as loaded; returns the checks."""
+        control = self.control()
+        checks = materialize(
+            post_promotion_checks(self.staging(), self.facts(), control, spec=self.spec), "checks"
+        )
+        final = finalize_control(control, checks, run_id=run_id, spec=self.spec)
+        self._log_control(final.where("finalized"))
+        return checks
+
     def _append(self, name: str, rows: DataFrame, check=None) -> None:
         """Write, check what was written, then commit its periods."""
         table = self.table(name)
