@@ -29,7 +29,7 @@ from cubeloom.llm.chunks import (
     word_order,
     write_chunks,
 )
-from cubeloom.llm.common import Shared, keyed_texts
+from cubeloom.llm.common import Shared, keyed_texts, tidy
 
 # Fixed values of the tokenizer format: what splits a text before the merges, for texts below
 # U+0250 with the letters and numbers of that range spelt out, which a plain regex finds faster.
@@ -128,6 +128,7 @@ def _encode_bucket(shared):
     )
 
     def run(packets):
+        tidy()
         model: WordBpe = shared.value
         letters = byte_letters()
         known: dict[bytes, list[int]] = {}
@@ -159,6 +160,7 @@ def _join_chunk(shared, with_text: bool):
     """One chunk: ids of its documents by word number, and each id's piece."""
 
     def run(docs, packets):
+        tidy()
         place = word_order(packets)
         sizes = [unpack_ints(d) for d in packets.column("sizes").to_pylist()]
         flat = [unpack_ints(d) for d in packets.column("ids").to_pylist()]

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubeloom.llm.common import numbering, shuffle_partitions
+from cubeloom.llm.common import numbering, shuffle_partitions, tidy
 from cubeloom.session import materialize
 
 CHUNK_WORDS = 4_000_000
@@ -133,6 +133,7 @@ def _chunks(split: Callable[[bytes], list[bytes]], buckets: int, chunk_words: in
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         chunks, ids, docs, size = numbering(), Numbers(), [], 0
         counted = False
         for rows in batches:
@@ -151,6 +152,8 @@ def _chunks(split: Callable[[bytes], list[bytes]], buckets: int, chunk_words: in
                     ids, docs, size = Numbers(), [], 0
         if docs:
             yield from close(next(chunks), ids, docs, counted)
+        del ids, docs
+        tidy()
 
     return run
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,6 +62,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tidy() -> None:
+    """Give memory that is not in use back to the machine.
+
+    Spark keeps Python workers for its next tasks; without this, each holds on to the largest
+    amount it ever needed while tasks of another kind run beside it.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries lack it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Shared:
     """A bounded value for all tasks of a plan, sent to each executor once."""
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubeloom.llm.common import Shared, keyed_texts
+from cubeloom.llm.common import Shared, keyed_texts, tidy
 from cubeloom.session import materialize
 
 MIN_CHARS = 20
@@ -144,6 +144,7 @@ def _texts(rows: pa.RecordBatch) -> Iterator[bytes]:
 
 def _postings(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for rows in batches:
             keys, owners = [], []
             for doc_id, text in zip(rows.column("doc_id").to_pylist(), _texts(rows)):
@@ -161,6 +162,7 @@ def _probe(min_chars: int, filters):
     """Lines that may be frequent; without filters every eligible line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         whole = CuckooSet(filters.value) if filters is not None else None
         for rows in batches:
             row_keys, owners, places, keys = [], [], [], []
@@ -237,6 +239,7 @@ def _counted(postings: DataFrame) -> DataFrame:
 
 def _build_filters(refs: DataFrame, min_docs: int) -> DataFrame:
     def build(key, rows):
+        tidy()
         hashes = key_hashes(rows.column("key").to_pylist())
         size = len(hashes)
         while True:

@@ -33,7 +33,7 @@ from cubeloom.llm.chunks import (
     word_order,
     write_chunks,
 )
-from cubeloom.llm.common import Shared, text_of
+from cubeloom.llm.common import Shared, text_of, tidy
 from cubeloom.session import materialize
 
 CLASSES = 512
@@ -82,6 +82,7 @@ def _count_bucket(key, packets):
 
     A word's tag is its shape and, if it is among the bucket's most frequent, its place there.
     """
+    tidy()
     bucket = key[0].as_py()
     totals: dict[bytes, int] = {}
     read = []
@@ -202,6 +203,7 @@ def _classify_chunk(shared):
     """cogroup of a chunk: class sequences and partial scores, and the chunk's bigram counts."""
 
     def run(docs, packets):
+        tidy()
         corpus: CorpusCounts = shared.value
         place = word_order(packets)
         counts, classes = [], []
