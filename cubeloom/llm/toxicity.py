@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubeloom.llm.common import Shared, keyed_texts, text_of
+from cubeloom.llm.common import Shared, keyed_texts, text_of, tidy
+from cubeloom.session import materialize
 
 # Common insults and forms of address in the languages of the texts.
 INSULTS = (
@@ -171,6 +172,7 @@ PLAIN_MARKS = ".,;:!?*%$#&@|"
 
 
 def _count_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tidy()
     counts: Counter = Counter()
 
     def emit() -> pa.RecordBatch:
@@ -377,7 +379,11 @@ def train(docs: DataFrame, labels: DataFrame, trains: Column, plan: ToxicityPlan
     picked = marked.where(draw < int(share * (1 << 30))).withColumn(
         "fold", F.pmod(F.xxhash64("doc_id", F.lit(plan.seed + 1)), F.lit(plan.folds)).cast("int")
     )
-    sample = docs.join(picked, "doc_id").select("doc_id", "text", "fold", "label")
+    # plan.sample bounds what is broadcast and what is written: rows are picked in the scan
+    sample = materialize(
+        docs.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "fold", "label"),
+        "toxicity-sample",
+    )
     sizes = {
         (r.fold, r.label): r["count"] for r in picked.groupBy("fold", "label").count().collect()
     }
@@ -389,6 +395,7 @@ def train(docs: DataFrame, labels: DataFrame, trains: Column, plan: ToxicityPlan
     width = len(FEATURES)
 
     def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for rows in batches:
             folds = rows.column("fold").to_pylist()
             texts = rows.column("text").to_pylist()
@@ -448,6 +455,7 @@ def score_toxicity(
     def scored(texts):
         import pandas as pd
 
+        tidy()
         model = shared.value
         if isinstance(model, float):
             return pd.Series(np.full(len(texts), model))
