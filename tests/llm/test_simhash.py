@@ -143,3 +143,36 @@ def test_near_groups_of_messy_rows(messy):
     assert {(r.doc_id, r.component_id) for r in got if r.doc_id in (7, 8, 9, 10, 11)} == {
         (7, 7), (8, 7), (9, 9), (10, 9), (11, 11),
     }
+
+
+def test_near_groups_of_a_crowd_with_decoys(spark):
+    # one passage puts all texts into the same large buckets; every text has more decoys, near
+    # in bits and not in shingles, than a text of a large bucket has first partners
+    rng = random.Random(5)
+    passage = ["p%d" % i for i in range(160)]
+    texts = []
+    for i in range(120):
+        own = passage + ["t%d_%d" % (i, k) for k in range(24)]
+        changed = list(own)
+        for at in (40, 80, 120):
+            changed[at] = "c%d_%d" % (i, at)
+        texts += [" ".join(own), " ".join(changed)]
+    ids = rng.sample(range(10_000), len(texts))
+    sets = [shingles(t) for t in texts]
+    want = plain_components(ids, lambda i, j: jaccard(sets[i], sets[j]) >= 0.8)
+    assert len(set(want)) == 120  # each text with its own near copy
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_components(df).collect()} == dict(zip(ids, want))
+
+
+def test_near_groups_over_several_blocks(spark, monkeypatch):
+    from cubeloom.llm import simhash_wide
+
+    for name, value in (("SMALL", 4), ("NEAREST", 1), ("WINDOW", 16), ("RANKS", ((0, 1), (1, 2), (2, 1 << 62)))):
+        monkeypatch.setattr(simhash_wide, name, value)
+    texts = planted()
+    sets = [shingles(t) for t in texts]
+    want = plain_components(range(len(texts)), lambda i, j: jaccard(sets[i], sets[j]) >= 0.8)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_components(df).collect()}
+    assert got == dict(enumerate(want))
