@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from cubeloom.llm import simhash as sh
-from cubeloom.llm.simhash_wide import keep_one, near_components, survives_ring
+from cubeloom.llm.simhash_wide import keep_one, near_components, sketch, survives_ring
 
 
 def plain_fingerprint(text, size):
@@ -176,3 +176,26 @@ def test_near_groups_over_several_blocks(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in near_components(df).collect()}
     assert got == dict(enumerate(want))
+
+
+def test_near_groups_of_repeated_blocks(spark):
+    # sets near 1 in common, but a block that one of the two repeats hundreds of times
+    rng = random.Random(8)
+    texts = []
+    for i in range(30):
+        own = ["w%d" % rng.randrange(9_000) for _ in range(200)]
+        block = own[50:62]
+        texts += [" ".join(own), " ".join(own[:62] + block * 300 + own[62:])]
+    sets = [shingles(t) for t in texts]
+    want = plain_components(range(len(texts)), lambda i, j: jaccard(sets[i], sets[j]) >= 0.8)
+    assert len(set(want)) == 30
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_components(df).collect()} == dict(enumerate(want))
+
+
+def test_wide_sketch_is_of_the_set():
+    once = " ".join("w%d" % i for i in range(40)).encode()
+    # the same shingles, some of them again
+    cycle = " ".join(["a", "b", "c", "d", "e", "f"] * 3).encode()
+    more = " ".join(["a", "b", "c", "d", "e", "f"] * 50 + ["a", "b"]).encode()
+    assert sketch(cycle, 5) == sketch(more, 5) != sketch(once, 5)
