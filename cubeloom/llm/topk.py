@@ -19,21 +19,25 @@ from pyspark.sql.window import Window
 SCALE = 256
 QUERY_BLOCK = 2_048
 CANDIDATE_BLOCK = 16_384
-LARGEST = float(1 << 24)  # of a quantised component: 2**15 of them still add up exactly
+PLAIN = 1 << 24  # rows with a larger component are scored apart, in wide integers if need be
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
     """(vec_id, weights): floor(scale * x), x as double.
 
     Vectors that are null or hold a null or non-finite component take no part, nor do empty
-    ones, those without an id, and those with a quantised component beyond 2**24.
+    ones, those without an id, and those with a quantised component beyond 64-bit integers, for
+    which the SQL has no number.
     """
     weights = F.transform(
         F.col(vector_col), lambda x: F.floor(x.cast("double") * F.lit(float(scale)))
     )
     sound = F.forall(
         F.col(vector_col),
-        lambda x: F.coalesce(F.abs(x.cast("double") * scale) <= LARGEST, F.lit(False))
+        lambda x: F.coalesce(
+            (x.cast("double") * scale >= -(2.0**63)) & (x.cast("double") * scale < 2.0**63),
+            F.lit(False),
+        )
         & ~F.isnan(F.coalesce(x.cast("double"), F.lit(0.0))),
     )
     return vectors.where(
@@ -56,8 +60,25 @@ def _sparse(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return ids, row[held], term[held], weights[held]
 
 
-def _postings(rows: pa.Table) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+def _parts(rows: pa.Table) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """As :func:`_sparse`, rows with a component beyond ``PLAIN`` apart from the others."""
     ids, row, term, weight = _sparse(rows)
+    wide = np.zeros(len(ids), bool)
+    wide[row[(weight > PLAIN) | (weight < -PLAIN)]] = True
+    parts = []
+    for own in (~wide, wide):
+        if own.any():
+            held = own[row]
+            parts.append((ids[own], (np.cumsum(own) - 1)[row[held]], term[held], weight[held]))
+    return parts
+
+
+def _largest(weight: np.ndarray) -> int:
+    return max(int(weight.max()), -int(weight.min())) if len(weight) else 0
+
+
+def _postings(sparse) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    ids, row, term, weight = sparse
     order = np.argsort(term, kind="stable")
     row, term, weight = row[order], term[order], weight[order]
     terms, starts = np.unique(term, return_index=True)
@@ -70,13 +91,15 @@ def _postings(rows: pa.Table) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, n
 def _score_cell(k: int):
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
-    def run(queries, candidates):
-        if not queries.num_rows or not candidates.num_rows:
-            return schema.empty_table()
-        ids, postings = _postings(candidates)
-        query_ids, row, term, weight = _sparse(queries)
+    def score(queries, candidates) -> pa.Table:
+        query_ids, row, term, weight = queries
+        terms = min((int(x[2].max(initial=0)) + 1 for x in (queries, candidates)))
+        exact = _largest(weight) * _largest(candidates[3]) * terms < 1 << 63
+        kind = np.int64 if exact else object  # Python's integers have no bound
+        weight = weight.astype(kind)
+        ids, postings = _postings((*candidates[:3], candidates[3].astype(kind)))
         starts = np.searchsorted(row, np.arange(len(query_ids) + 1))
-        scores = np.zeros(len(ids), np.int64)
+        scores = np.zeros(len(ids), kind)
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for q, query_id in enumerate(query_ids):
             scores[:] = 0
@@ -87,14 +110,21 @@ def _score_cell(k: int):
             open_ = np.flatnonzero(ids != query_id)
             if len(open_) > k:
                 own = scores[open_]
-                least = np.partition(own, len(own) - k)[len(own) - k]
+                least = (np.partition(own, len(own) - k) if exact else np.sort(own))[len(own) - k]
                 open_ = open_[own >= least]
                 # the least score may be shared by many: the smaller ids win
-                open_ = open_[np.lexsort((ids[open_], -scores[open_]))[:k]]
+                open_ = open_[np.argsort(ids[open_], kind="stable")]
+                open_ = open_[np.argsort(-scores[open_], kind="stable")[:k]]
             found.append((np.full(len(open_), query_id), ids[open_], scores[open_]))
-        return pa.table(
-            [np.concatenate([f[i] for f in found]) for i in range(3)], schema=schema
-        )
+        columns = [np.concatenate([f[i] for f in found]) for i in range(3)]
+        # a best score beyond 64 bits ends the query with an error
+        return pa.table([pa.array(c.tolist(), pa.int64()) for c in columns], schema=schema)
+
+    def run(queries, candidates):
+        if not queries.num_rows or not candidates.num_rows:
+            return schema.empty_table()
+        own = _parts(candidates)
+        return pa.concat_tables([score(q, c) for q in _parts(queries) for c in own])
 
     return run
 

@@ -43,3 +43,31 @@ def test_few_or_no_candidates(spark):
     assert [tuple(r) for r in got.collect()] == [(0, 1, 1, 256 * 512)]
     none = own.where("false")
     assert exact_top_k(none, none).collect() == []
+
+
+@pytest.mark.parametrize("blocks", [(2_048, 16_384), (3, 7)])
+def test_large_components_take_part(spark, blocks):
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(40)]
+    rows += [(i, [rng.uniform(-1, 1) * 4e6 for _ in range(4)]) for i in range(40, 60)]
+    rows += [(60, [-3e13, 1.0, 0.0, 0.0]), (61, [3e13, -1.0, 0.0, 0.0])]
+    vectors = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    asked = lambda i: i % 5 == 0 and i < 60
+    scale = {q: v for q, v in vectors if asked(q)}
+    want = set()
+    for q, v in scale.items():
+        best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in vectors if i != q)[:5]
+        want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best)}
+    kept = {q for q in scale if all(abs(s) < 1 << 63 for p, _, _, s in want if p == q)}
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    own = quantised(df, "vec_id", "v")
+    got = exact_top_k(own.where(f"vec_id IN ({','.join(map(str, kept))})"), own, 5, *blocks).collect()
+    assert {tuple(r) for r in got} == {w for w in want if w[0] in kept}
+    assert any(w[2] >= 40 for w in want if w[0] in kept and w[0] < 40)
+
+
+def test_sums_beyond_64_bits_that_cancel(spark):
+    rows = [(0, [1000.0, -1000.0]), (1, [3e16, 3e16]), (2, [1.0, 0.5])]
+    own = quantised(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v")
+    got = exact_top_k(own.where("vec_id = 0"), own).collect()
+    assert {tuple(r) for r in got} == {(0, 1, 2, 256_000 * 128), (0, 2, 1, 0)}
