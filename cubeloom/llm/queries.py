@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubeloom.llm import bpe, chat, exact_dedup, line_dedup, lm, mixing, packing, simhash, topk, toxicity
+from cubeloom.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    line_dedup,
+    lm,
+    mixing,
+    packing,
+    simhash,
+    topk,
+    toxicity,
+    whitening,
+)
 from cubeloom.llm.common import crc_bucket, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +222,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return topk.exact_top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
