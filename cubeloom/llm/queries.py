@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cubeloom.llm import (
     bpe,
     chat,
+    decontam,
     exact_dedup,
     line_dedup,
     lm,
@@ -227,3 +228,50 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_whitening")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_WORDS = rf"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"""
+
+
+@query(
+    "op13_decontam",
+    rf"""
+    WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+    b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    windows AS (
+      SELECT DISTINCT item_id, least(10, len(w)) AS n,
+        array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS t
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+    ), runs AS (
+      SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS t
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+            FROM d, (SELECT DISTINCT n FROM windows))
+    ), found AS (
+      SELECT DISTINCT doc_id, runs.n, i, item_id FROM runs JOIN windows ON runs.n = windows.n AND runs.t = windows.t
+    ), hit AS (
+      SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, n, i FROM found))
+      GROUP BY doc_id
+    ), items AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS listed
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+      coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+      coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    listed = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
