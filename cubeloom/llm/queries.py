@@ -12,6 +12,7 @@ from cubeloom.llm import (
     chat,
     decontam,
     exact_dedup,
+    lexical,
     line_dedup,
     lm,
     mixing,
@@ -235,6 +236,38 @@ _WORDS = rf"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
       'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"""
 
 
+@query(
+    "op12_lexical",
+    rf"""
+    WITH d AS (
+      SELECT row_number() OVER () AS doc, doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL
+    ), lengths AS (SELECT doc, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+    total AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nt FROM lengths),
+    postings AS (
+      SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(w) AS term FROM d) GROUP BY doc, term
+    ), asked AS (
+      SELECT item_id, term, count(*) AS times
+      FROM (SELECT item_id, unnest({_WORDS}) AS term FROM benchmark) GROUP BY item_id, term
+    ), weights AS (
+      SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM postings, total WHERE term IN (SELECT term FROM asked) GROUP BY term, nd
+    ), scored AS (
+      SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) //
+          (1000 * tf + 12 * (100 - 25 + ((25 * n * nd) // nt))))) AS BIGINT) AS score
+      FROM postings JOIN weights USING (term) JOIN asked USING (term) JOIN lengths USING (doc), total
+      GROUP BY item_id, doc, doc_id
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM scored WHERE score > 0
+    ) WHERE rank <= 20
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.lexical_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), k=20)
+
+
 @query(
     "op13_decontam",
     rf"""
