@@ -99,17 +99,16 @@ def unit_sum(col: Column) -> Column:
     return joined_units(F.sum(units(col)), F.sum(rest(col)))
 
 
-def _wide_units(col: Column) -> Column:
-    """Sum of plain values by two BIGINT parts, for trillions of rows."""
-    plain = units(col)
-    low = plain.bitwiseAND(F.lit((1 << LIMB) - 1))
-    high = F.sum(F.shiftright(plain, LIMB)).cast("decimal(38,0)")
-    return high * F.lit(1 << LIMB) + F.sum(low)
+def sum_in_limbs(whole: Column) -> Column:
+    """Sum of BIGINT values as DECIMAL by two BIGINT parts, for trillions of rows."""
+    low = whole.bitwiseAND(F.lit((1 << LIMB) - 1))
+    high = F.sum(F.shiftright(whole, LIMB)).cast("decimal(38,0)")
+    return (high * F.lit(1 << LIMB) + F.sum(low)).cast("decimal(38,0)")
 
 
 def wide_unit_sum(col: Column) -> Column:
     """Like :func:`unit_sum` for groups of any size, a whole table too."""
-    return joined_units(_wide_units(col).cast("decimal(38,0)"), F.sum(rest(col)))
+    return joined_units(sum_in_limbs(units(col)), F.sum(rest(col)))
 
 
 def exact_sum(col: Column) -> Column:

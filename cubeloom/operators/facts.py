@@ -120,35 +120,36 @@ def promotion_outcome(
 # ---------------------------------------------------------------- reconciliation
 
 
-def _side(df: DataFrame, prefix: str, extra: dict[str, Column], spec: CubeSpec) -> DataFrame:
+# what a stored period says of itself, in this order
+SIDE_TOTALS = (
+    "filas bigint, sum_ta double, sum_ta_sal double, sum_masa_sal_ta double, "
+    "flag_blank bigint, flag_unavailable bigint, flag_zero bigint"
+)
+
+
+def side_totals(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """Rows, sums and flag counts of every period, as ``SIDE_TOTALS`` names them."""
     roles = {"sum_ta": spec.jobs, "sum_ta_sal": spec.jobs_paid, "sum_masa_sal_ta": spec.payroll}
+    flag = F.col(spec.flag)
     return df.groupBy(spec.period).agg(
-        F.count("*").alias(f"{prefix}_row_count"),
-        *[
-            F.coalesce(exact_sum(F.col(c)), F.lit(0.0)).alias(f"{prefix}_{n}")
-            for n, c in roles.items()
-        ],
-        *[c.alias(n) for n, c in extra.items()],
+        F.count("*").alias("filas"),
+        *[F.coalesce(exact_sum(F.col(c)), F.lit(0.0)).alias(n) for n, c in roles.items()],
+        F.count_if(F.coalesce(F.trim(flag), F.lit("")) == "").alias("flag_blank"),
+        F.count_if(flag == spec.unavailable).alias("flag_unavailable"),
+        F.count_if(flag == "0").alias("flag_zero"),
     )
 
 
 MATCHES = ("row_count", "sum_ta", "sum_ta_sal", "sum_masa_sal_ta")
 
 
-def _both_sides(staging: DataFrame, facts: DataFrame, spec: CubeSpec) -> DataFrame:
-    """One pass per table, then a full outer join of the per-period rows."""
-    blank = F.coalesce(F.trim(F.col(spec.flag)), F.lit("")) == ""
-    left = _side(staging, "staging", {"staging_flag_blank": F.count_if(blank)}, spec)
-    right = _side(
-        facts,
-        "final",
-        {
-            "final_flag_unavailable": F.count_if(F.col(spec.flag) == spec.unavailable),
-            "final_flag_zero": F.count_if(F.col(spec.flag) == "0"),
-        },
-        spec,
+def _side(totals: DataFrame, prefix: str, flags: tuple[str, ...], spec: CubeSpec) -> DataFrame:
+    names = ("filas", *MATCHES[1:])
+    return totals.select(
+        spec.period,
+        *[F.col(n).alias(f"{prefix}_{m}") for n, m in zip(names, MATCHES)],
+        *[F.col(f).alias(f"{prefix}_{f}") for f in flags],
     )
-    return left.join(right, spec.period, "full_outer")
 
 
 def _with_matches(df: DataFrame) -> DataFrame:
@@ -169,12 +170,27 @@ def post_promotion_checks(
     requested: DataFrame | None = None,
     spec: CubeSpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """Staging against facts for every period.
+    """Staging against facts for every period: one pass over each table.
 
     A literal 'unavailable' label in the staged flag makes the blank check fail,
     because the facts count labels and staging counts blanks.
     """
-    sides = _both_sides(staging, facts, spec)
+    return checks_of_totals(
+        side_totals(staging, spec), side_totals(facts, spec), control, requested, spec
+    )
+
+
+def checks_of_totals(
+    staging: DataFrame,
+    facts: DataFrame,
+    control: DataFrame,
+    requested: DataFrame | None = None,
+    spec: CubeSpec = DEFAULT_SPEC,
+) -> DataFrame:
+    """:func:`post_promotion_checks` from what :func:`side_totals` or commit rows say."""
+    left = _side(staging, "staging", ("flag_blank",), spec)
+    right = _side(facts, "final", ("flag_unavailable", "flag_zero"), spec)
+    sides = left.join(right, spec.period, "full_outer")
     known = control.select(spec.period, F.col("status").alias("period_control_status"), F.lit(True).alias("period_control_exists"))
     joined = sides.join(known, spec.period, "left")
     if requested is not None:
@@ -462,6 +478,21 @@ def housekeeping_eligibility(
     spec: CubeSpec = DEFAULT_SPEC,
 ) -> DataFrame:
     """Nine checks per source period; all must hold before the source may be archived."""
+    return housekeeping_of_totals(
+        source, side_totals(staging, spec), side_totals(facts, spec), control, manifests, requested, spec
+    )
+
+
+def housekeeping_of_totals(
+    source: DataFrame,
+    staging: DataFrame,
+    facts: DataFrame,
+    control: DataFrame,
+    manifests: DataFrame,
+    requested: DataFrame | None = None,
+    spec: CubeSpec = DEFAULT_SPEC,
+) -> DataFrame:
+    """:func:`housekeeping_eligibility` from what :func:`side_totals` or commit rows say."""
     period = F.nullif(strip(F.col(spec.period)), F.lit(""))
     seen = (
         source.groupBy(period.alias(spec.period))
@@ -470,8 +501,8 @@ def housekeeping_eligibility(
     )
     evaluated = _periods(requested, spec).join(seen, spec.period, "left") if requested is not None else seen
     sides = [
-        _side(staging, "staging", {}, spec),
-        _side(facts, "final", {}, spec),
+        _side(staging, "staging", (), spec),
+        _side(facts, "final", (), spec),
         control.select(spec.period, F.col("status").alias("period_control_status")),
         manifests,
     ]

@@ -7,7 +7,15 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubeloom.functions.numbers import REST, UNITS_PER_ONE, number_column, unit_sum
+from cubeloom.functions.numbers import (
+    REST,
+    UNITS_PER_ONE,
+    joined_units,
+    number_column,
+    rest,
+    sum_in_limbs,
+    units,
+)
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 
@@ -42,9 +50,11 @@ def period_rollup(
     infinite = {f"inf_{c}": F.abs(number_column(cube, c)) == F.lit(float("inf")) for c in ratios}
 
     unit = [] if declared is None else [F.col(declared).alias("periodo")]
+    plain, others = {m: f"{m}__units" for m in measures}, {m: f"{m}__rest" for m in measures}
     per_key = cube.groupBy(*unit, *keys).agg(
         F.count("*").alias("cnt"),
-        *[unit_sum(number_column(cube, m)).alias(m) for m in measures],
+        *[F.sum(units(number_column(cube, m))).alias(n) for m, n in plain.items()],
+        *[F.sum(rest(number_column(cube, m))).alias(n) for m, n in others.items()],
         *[F.count_if(c).alias(n) for n, c in infinite.items()],
     )
     if declared is None:
@@ -55,7 +65,8 @@ def period_rollup(
         F.sum("cnt").alias("filas"),
         F.count("*").alias("llaves"),
         F.sum(F.when(F.col("cnt") > 1, F.col("cnt")).otherwise(0)).alias("repetidas"),
-        *[F.sum(m).alias(m) for m in measures],
+        *[sum_in_limbs(F.col(n)).alias(n) for n in plain.values()],
+        *[F.sum(n).alias(n) for n in others.values()],
         *[F.sum(n).alias(n) for n in infinite],
     )
     return pairs.groupBy("periodo").agg(
@@ -63,7 +74,10 @@ def period_rollup(
         F.sum("llaves").alias("llaves"),
         F.sum("repetidas").alias("repetidas"),
         F.array_sort(F.collect_set("_found")).alias("found"),
-        *[F.coalesce(F.sum(m), F.lit(0)).cast(REST).alias(m) for m in measures],
+        *[
+            F.coalesce(joined_units(F.sum(plain[m]), F.sum(others[m])), F.lit(0)).cast(REST).alias(m)
+            for m in measures
+        ],
         *[F.sum(n).alias(n) for n in infinite],
     )
 
@@ -98,6 +112,14 @@ def fingerprint_of(rollup: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFram
     return summary.withColumn("fingerprint_sha256", F.sha2(payload, 256))
 
 
+def header_row(df: DataFrame) -> Column:
+    """Whether a row is a header read as data: texts are their column's name, numbers no number."""
+    same = F.lit(True)
+    for name, kind in df.dtypes:
+        same = same & (F.col(name).eqNullSafe(name) if kind == "string" else F.col(name).isNull())
+    return same
+
+
 def aggregate_pre_checks(
     candidate: DataFrame,
     period: str,
@@ -118,12 +140,9 @@ def aggregate_pre_checks(
             F.lit(None).cast("bigint").alias("row_count"),
             F.lit(message).alias("errors"),
         )
-    header = F.lit(True)
-    for name in candidate.columns:
-        header = header & F.col(name).cast("string").eqNullSafe(name)
     found = (
         candidate.groupBy(F.col(spec.period).alias("p"))
-        .agg(F.count("*").alias("n"), F.count_if(header).alias("headers"))
+        .agg(F.count("*").alias("n"), F.count_if(header_row(candidate)).alias("headers"))
         .agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
             F.coalesce(F.sum("headers"), F.lit(0)).alias("headers"),
@@ -383,15 +402,31 @@ def dedup_ignore_metadata(
     )
 
 
+def multiset_differences(
+    left: DataFrame, right: DataFrame, ignore: tuple[str, ...] = ()
+) -> DataFrame:
+    """Distinct rows of which one side has more: the ``side`` and how many ``copies`` more.
+
+    Both directions come from one aggregate of signed counts, combined before the shuffle, so
+    copies of a row never gather.
+    """
+    columns = [c for c in left.columns if c not in ignore]
+    more = left.select(*columns, F.lit(1).cast("bigint").alias("_signed"))
+    less = right.select(*columns, F.lit(-1).cast("bigint").alias("_signed"))
+    counted = more.unionByName(less).groupBy(*columns).agg(F.sum("_signed").alias("_signed"))
+    return counted.where("_signed <> 0").select(
+        F.when(F.col("_signed") > 0, "left").otherwise("right").alias("side"),
+        *columns,
+        F.abs("_signed").alias("copies"),
+    )
+
+
 def multiset_surplus(
     left: DataFrame, right: DataFrame, ignore: tuple[str, ...] = ()
 ) -> DataFrame:
     """Distinct rows of ``left`` with how many more of each it has than ``right``, if any."""
-    columns = [c for c in left.columns if c not in ignore]
-    more = left.select(*columns, F.lit(1).cast("bigint").alias("surplus"))
-    less = right.select(*columns, F.lit(-1).cast("bigint").alias("surplus"))
-    counted = more.unionByName(less).groupBy(*columns).agg(F.sum("surplus").alias("surplus"))
-    return counted.where("surplus > 0")
+    both = multiset_differences(left, right, ignore)
+    return both.where("side = 'left'").drop("side").withColumnRenamed("copies", "surplus")
 
 
 SPAN = 10_000  # copies of a row that one task writes out at a time

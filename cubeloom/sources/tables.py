@@ -2,36 +2,44 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cubeloom.functions.numbers import number_column
 from cubeloom.operators.audit import audit_of, deep_audit, fact_constraint_violations
 from cubeloom.operators.facts import (
+    SIDE_TOTALS,
+    checks_of_totals,
     existing_period_check,
+    final_manifests,
     finalize_control,
-    post_promotion_checks,
+    finalize_manifests,
+    housekeeping_of_totals,
+    register_manifests,
     register_pending,
-    rows_to_promote,
-    rows_to_stage,
+    side_totals,
 )
 from cubeloom.operators.history import (
     MESSAGES,
     compare_periods,
     fingerprint_of,
+    header_row,
     latest_per_key,
-    period_fingerprint,
     period_results,
     period_rollup,
     publish_post_checks,
     run_status,
 )
-from cubeloom.operators.normalize import staging_projection
+from cubeloom.operators.normalize import fact_defaults, staging_projection
 from cubeloom.session import materialize
-from cubeloom.sources.schemas import empty_table
+from cubeloom.sources.log import VERSION, VersionedLog, children, remove
+from cubeloom.sources.schemas import CONTROL, MANIFESTS, empty_table
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 PARQUET_CODECS = ("zstd", "snappy")
@@ -98,49 +106,66 @@ def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 ATTEMPT = "attempt"
+FILES = "path string, length bigint, modified timestamp"
 
 
 @dataclass
 class PeriodTable:
     """Periods below ``path``, each written once and never moved.
 
-    ``data`` holds the rows of every write attempt by period, ``commits`` one row per period
-    that names the attempt which counts.  The commit rows are written last, so a run that dies
-    in between leaves rows that nobody sees; :meth:`discard_uncommitted` deletes them.  One
-    writer at a time.
+    ``data`` holds the rows of every write attempt by period, ``files`` the delivered files that
+    an attempt was made of, and ``commits`` a :class:`VersionedLog` with one row per period that
+    names the attempt which counts; ``fields`` (DDL) is what else such a row says.  Commit rows
+    are written last, so a run that dies in between leaves rows that nobody sees, and of two
+    writers of a period one gets it.  Reads name the committed folders, so nothing else is
+    listed.
     """
 
     spark: SparkSession
     path: str
     spec: CubeSpec = DEFAULT_SPEC
+    fields: str = "filas bigint"
 
     @property
     def data_path(self) -> str:
         return f"{self.path}/data"
 
     @property
-    def commits_path(self) -> str:
-        return f"{self.path}/commits"
+    def log(self) -> VersionedLog:
+        own = f"`{self.spec.period}` string, {self.fields}, {ATTEMPT} string, columns array<string>"
+        return VersionedLog(self.spark, f"{self.path}/commits", own)
 
     def attempt_path(self, attempt: str) -> str:
         return f"{self.data_path}/{ATTEMPT}={attempt}"
 
+    def _files_path(self, attempt: str) -> str:
+        return f"{self.path}/files/{ATTEMPT}={attempt}"
+
     def commits(self) -> DataFrame | None:
-        return read_if_written(self.spark, self.commits_path)
+        commits = self.log.read().drop(VERSION)
+        return None if commits.isEmpty() else commits
+
+    def known(self) -> dict[str, str]:
+        """The attempt that counts of every committed period (one row per month)."""
+        return {r[0]: r[1] for r in self.log.read().select(self.spec.period, ATTEMPT).collect()}
 
     def periods(self) -> DataFrame:
         """The committed periods, from the commit rows."""
-        commits = self.commits()
-        if commits is None:
-            return self.spark.createDataFrame([], f"`{self.spec.period}` string")
-        return commits.select(self.spec.period)
+        return self.log.read().select(self.spec.period)
+
+    def last_period(self) -> str | None:
+        return self.log.read().agg(F.max(self.spec.period)).first()[0]
 
-    def write(self, rows: DataFrame) -> str:
+    def write(self, rows: DataFrame, files: DataFrame | None = None) -> str:
         # a letter first, so that it is never read as a number
         attempt = f"a{uuid.uuid4().hex}"
         rows.write.option("compression", "zstd").partitionBy(self.spec.period).parquet(
             self.attempt_path(attempt)
         )
+        if files is not None:
+            files.select(self.spec.period, "path", "length", "modified").write.parquet(
+                self._files_path(attempt)
+            )
         return attempt
 
     def written(self, attempt: str, columns: list[str]) -> DataFrame:
@@ -154,48 +179,96 @@ class PeriodTable:
         )
 
     def commit(self, periods: DataFrame, attempt: str, columns: list[str]) -> None:
-        """``periods`` has one row per period; what else it says is kept with the commit."""
-        periods.withColumns(
-            {ATTEMPT: F.lit(attempt), "columns": F.array(*[F.lit(c) for c in sorted(columns)])}
-        ).coalesce(1).write.mode("append").parquet(self.commits_path)
+        """Commit the ``periods`` (one row each, with the log's fields) that nobody has by now.
+
+        Nothing is committed to a table of other columns.
+        """
+        stamped = periods.withColumns(
+            {ATTEMPT: F.lit(attempt), "columns": F.array(*[F.lit(c) for c in columns])}
+        )
+
+        def decide(log: DataFrame) -> DataFrame:
+            first = log.select("columns").first()
+            same = first is None or sorted(first[0]) == sorted(columns)
+            new = stamped.join(log.select(self.spec.period), self.spec.period, "left_anti")
+            return new if same else new.where(F.lit(False))
+
+        self.log.append(decide)
 
     def columns(self) -> list[str] | None:
-        """The stored columns, sorted; None before the first commit."""
-        commits = self.commits()
-        first = None if commits is None else commits.select("columns").first()
+        """The stored columns in their order; None before the first commit."""
+        first = self.log.read().orderBy(VERSION).select("columns").first()
         return None if first is None else list(first[0])
 
-    def read(self, period: str | None = None) -> DataFrame | None:
-        """Committed rows; None before the first commit."""
-        commits = self.commits()
-        if commits is None:
+    def _folder(self, attempt: str, period: str) -> str:
+        # Spark escapes what a folder's name cannot hold
+        name = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        return f"{self.attempt_path(attempt)}/{self.spec.period}={name.escapePathName(period)}"
+
+    def read(self, period: str | list[str] | None = None) -> DataFrame | None:
+        """Committed rows of one, some or all periods; None if there are none of them."""
+        known = self.known()
+        if period is not None:
+            wanted = {period} if isinstance(period, str) else set(period)
+            known = {p: a for p, a in known.items() if p in wanted}
+        if not known:
             return None
-        rows = read_period_table(self.spark, self.data_path, period, self.spec)
-        names = [c for c in rows.columns if c != ATTEMPT]
-        counted = commits.select(ATTEMPT, self.spec.period)
-        return rows.join(counted, [ATTEMPT, self.spec.period], "left_semi").select(*names)
+        folders = [self._folder(a, p) for p, a in sorted(known.items())]
+        rows = self.spark.read.option("basePath", self.data_path).parquet(*folders)
+        columns = [c for c in self.columns() if c in rows.columns]
+        own = F.col(self.spec.period).cast("string").alias(self.spec.period)
+        return rows.select(*[own if c == self.spec.period else F.col(c) for c in columns])
+
+    def files(self) -> DataFrame:
+        """(period, path, length, modified): the files that committed periods were made of."""
+        stored = read_if_written(self.spark, f"{self.path}/files")
+        if stored is None:
+            return self.spark.createDataFrame([], f"`{self.spec.period}` string, {FILES}")
+        counted = self.log.read().select(ATTEMPT, self.spec.period)
+        own = stored.join(counted, [ATTEMPT, self.spec.period], "left_semi")
+        return own.select(self.spec.period, "path", "length", "modified")
+
+    def discard(self, attempt: str) -> list[str]:
+        """Delete what an attempt wrote and no commit row names: months, or all of it."""
+        kept = {p for p, a in self.known().items() if a == attempt}
+        if not kept:
+            for path in (self.attempt_path(attempt), self._files_path(attempt)):
+                remove(self.spark, path)
+            return [attempt]
+        gone = []
+        for entry in children(self.spark, self.attempt_path(attempt)):
+            name = entry.getPath().getName()
+            period = unquote(name.removeprefix(f"{self.spec.period}="))
+            if entry.isDirectory() and period not in kept and name.startswith(self.spec.period):
+                remove(self.spark, str(entry.getPath()))
+                gone.append(f"{attempt}/{period}")
+        return gone
 
-    def discard_uncommitted(self) -> list[str]:
-        """Delete the attempts that no commit row names; returns their names.
+    def discard_uncommitted(self, older_than: float = 0) -> list[str]:
+        """Delete the attempts, and months of attempts, that no commit row names; their names.
 
-        Listing and deleting go through the session's own file-system settings.
+        Give as ``older_than`` the seconds that a publish of another writer may take: attempts
+        begun since then are left alone.
         """
-        commits = self.commits()
-        kept = set() if commits is None else {r[0] for r in commits.select(ATTEMPT).distinct().collect()}
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.data_path)
-        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(folder):
-            return []
-        gone = []
-        for entry in system.listStatus(folder):
+        before, gone = 1000 * (time.time() - older_than), []
+        for entry in children(self.spark, self.data_path):
             attempt = entry.getPath().getName().removeprefix(f"{ATTEMPT}=")
-            if attempt not in kept and entry.getPath().getName() != attempt:
-                system.delete(entry.getPath(), True)
-                gone.append(attempt)
+            if attempt != entry.getPath().getName() and entry.getModificationTime() <= before:
+                gone += self.discard(attempt)
         return gone
 
 
+@dataclass(frozen=True)
+class Published:
+    """What one publish did: results per period, fingerprints as read back, rows as written."""
+
+    results: DataFrame
+    prints: DataFrame | None = None
+    rows_written: int | None = None
+    rows_read_back: int | None = None
+    refused: str | None = None  # why nothing at all was published
+
+
 @dataclass
 class PeriodHistory:
     """An append-only table of periods; its commit rows keep row count and fingerprint."""
@@ -206,7 +279,11 @@ class PeriodHistory:
 
     @property
     def table(self) -> PeriodTable:
-        return PeriodTable(self.spark, self.path, self.spec)
+        counts = [f"sum_{m} bigint" for m in self.spec.fingerprint_counts]
+        amounts = [f"sum_{m} string" for m in self.spec.fingerprint_amounts]
+        fields = ["row_count bigint", "distinct_analytic_keys bigint", *counts, *amounts]
+        fields.append("fingerprint_sha256 string")
+        return PeriodTable(self.spark, self.path, self.spec, ", ".join(fields))
 
     @property
     def data_path(self) -> str:
@@ -216,96 +293,193 @@ class PeriodHistory:
         """Committed periods with the fingerprint fields, or None before the first publish."""
         return self.table.commits()
 
-    def read(self, period: str | None = None) -> DataFrame:
+    def read(self, period: str | list[str] | None = None) -> DataFrame:
         rows = self.table.read(period)
         if rows is None:
-            raise ValueError(f"no period was published to {self.path}")
+            raise ValueError(f"no such period was published to {self.path}")
         return rows
 
-    def period_counts(self) -> DataFrame:
-        return self.read().groupBy(self.spec.period).agg(F.count("*").alias("filas"))
+    def read_last(self) -> DataFrame:
+        """The last period: its name comes from the commit rows, and only its folder is read."""
+        return self.read(self.table.last_period())
 
-    def _refused(self, candidate: DataFrame) -> DataFrame:
-        """Results of a candidate whose columns are not those of the history."""
-        return (
-            candidate.groupBy(self.spec.period)
+    def period_counts(self) -> DataFrame:
+        """Rows per period as committed; no data is read."""
+        return self.table.log.read().select(self.spec.period, F.col("row_count").alias("filas"))
+
+    def _refused(self, rows: DataFrame, message: str) -> Published:
+        """Results when nothing of a candidate may be published."""
+        counted = (
+            rows.where(~header_row(rows))
+            .groupBy(self.spec.period)
             .agg(F.count("*").alias("rows_processed"))
-            .select(
-                self.spec.period,
-                F.lit("failed_processing").alias("status"),
-                "rows_processed",
-                F.lit(None).cast("bigint").alias("rows_existing"),
-                F.lit(0).cast("bigint").alias("rows_loaded"),
-                F.lit(None).cast("string").alias("period_fingerprint_hash"),
-                F.lit("failed").alias("audit_status"),
-                F.lit(MESSAGES["other_columns"]).alias("error"),
-            )
         )
+        results = counted.select(
+            self.spec.period,
+            F.lit("failed_processing").alias("status"),
+            "rows_processed",
+            F.lit(None).cast("bigint").alias("rows_existing"),
+            F.lit(0).cast("bigint").alias("rows_loaded"),
+            F.lit(None).cast("string").alias("period_fingerprint_hash"),
+            F.lit("failed").alias("audit_status"),
+            F.lit(message).alias("error"),
+        )
+        return Published(materialize(results, "results"), refused=message)
 
-    def publish(
-        self, candidate: DataFrame, expected: DataFrame | None = None
-    ) -> tuple[DataFrame, DataFrame]:
-        """Audit, compare and append the new periods; returns period results and the run summary.
-
-        The candidate is written once, where it stays if it is committed.  Existing periods are
-        compared by the fingerprint in their commit row.  A candidate with other columns than
-        the history is refused before anything is written.
-        """
+    def _compared_only(self, rows: DataFrame, known: list[str]) -> DataFrame:
+        """Rows of ``known`` periods without the values that their comparison does not need."""
+        spec = self.spec
+        needed = {*spec.keys, *spec.fingerprint_counts, *spec.fingerprint_amounts}
+        exists = F.col(spec.period).isin(known)
+
+        def kept(name: str):
+            if not known or name in needed:
+                return F.col(name)
+            lost = exists
+            if name.startswith(spec.ratio_prefix):  # the audit looks for infinite ones
+                lost = exists & ~F.coalesce(F.abs(number_column(rows, name)) == float("inf"), F.lit(False))
+            return F.when(~F.coalesce(lost, F.lit(False)), F.col(name)).alias(name)
+
+        return rows.select(*[kept(c) for c in rows.columns])
+
+    def _publish(
+        self,
+        candidate: DataFrame,
+        expected: DataFrame | None = None,
+        files: DataFrame | None = None,
+        strict: bool = False,
+        period: str | None = None,
+    ) -> Published:
         spec, table = self.spec, self.table
         stored = table.columns()
-        if stored is not None and stored != sorted(candidate.columns):
-            results = materialize(self._refused(candidate), "results")
-            return results, run_status(results, spec)
-        attempt = table.write(by_period(candidate, spec))
+        if stored is not None:
+            if (stored if strict else sorted(stored)) != (
+                candidate.columns if strict else sorted(candidate.columns)
+            ):
+                return self._refused(candidate, MESSAGES["other_columns"])
+            candidate = candidate.select(*stored)
+        before = table.commits()
+        known = sorted(p for p in table.known() if p is not None)
+        rows, guards = by_period(self._compared_only(candidate, known), spec), Observation()
+        if strict:
+            other = F.lit(False) if period is None else ~F.col(spec.period).eqNullSafe(period)
+            # the whole row is only looked at where its period is no period
+            header = F.when(F.col(spec.period).eqNullSafe(spec.period), header_row(candidate))
+            rows = rows.observe(
+                guards,
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(header).alias("headers"),
+                F.count_if(other).alias("others"),
+                F.min(F.when(other, F.col(spec.period))).alias("other"),
+            )
+        attempt = table.write(rows, files)
+        found = guards.get if strict else {"rows": None}
         written = table.written(attempt, candidate.columns)
+        refusal = None
+        if strict and found["headers"]:
+            refusal = MESSAGES["header_row"]
+        elif strict and found["others"]:
+            many = found["others"] < found["rows"]
+            refusal = MESSAGES["multiple_periods"] if many else MESSAGES["other_period"] + str(found["other"])
+        elif strict and period is not None and not found["rows"]:
+            refusal = MESSAGES["no_rows"]
+        if refusal is not None:
+            out = self._refused(written, refusal)
+            table.discard(attempt)
+            return out
+
         rollup = materialize(period_rollup(written, spec=spec), "rollup")
         prints = fingerprint_of(rollup, spec)
         audit = audit_of(rollup, candidate.columns, expected, spec)
-        comparison = compare_periods(prints, self.commits(), expected, spec)
-        results = materialize(period_results(comparison, audit, spec), "results")
 
-        new = results.filter(F.col("status") == "success_loaded").select(spec.period)
-        if not new.isEmpty():
+        def judged(commits: DataFrame | None) -> DataFrame:
+            comparison = compare_periods(prints, commits, expected, spec)
+            return materialize(period_results(comparison, audit, spec), "results")
+
+        results = judged(before)
+        new = {r[0] for r in results.where("status = 'success_loaded'").select(spec.period).collect()}
+        if new:
             table.commit(
-                prints.join(new, spec.period, "left_semi").select(*prints.columns),
+                prints.where(F.col(spec.period).isin(list(new))).select(*prints.columns),
                 attempt,
                 candidate.columns,
             )
-        return results, run_status(results, spec)
+            own = {p for p, a in table.known().items() if a == attempt}
+            if own != new:  # another writer was faster: compare with what it published
+                results = self._overtaken(judged(table.commits().where(F.col(ATTEMPT) != attempt)), own)
+        table.discard(attempt)
+        back = rollup.agg(F.coalesce(F.sum("filas"), F.lit(0))).first()[0] if strict else None
+        return Published(results, prints, found["rows"], back)
+
+    def _overtaken(self, results: DataFrame, own: set[str]) -> DataFrame:
+        """Periods that are new but were not committed met a history of other columns."""
+        lost = (F.col("status") == "success_loaded") & ~F.col(self.spec.period).isin(list(own))
+        instead = {
+            "status": F.lit("failed_processing"),
+            "rows_loaded": F.lit(0).cast("bigint"),
+            "error": F.lit(MESSAGES["other_columns"]),
+        }
+        return materialize(
+            results.select(
+                *[
+                    F.when(lost, instead[c]).otherwise(F.col(c)).alias(c) if c in instead else F.col(c)
+                    for c in results.columns
+                ]
+            ),
+            "results",
+        )
 
-    def publish_checked(self, candidate: DataFrame) -> DataFrame:
-        """Publish, then verify the written periods; one row of checks per published period.
+    def publish(
+        self,
+        candidate: DataFrame,
+        expected: DataFrame | None = None,
+        files: DataFrame | None = None,
+    ) -> tuple[DataFrame, DataFrame]:
+        """Audit, compare and append the new periods; returns period results and the run summary.
 
-        Old periods are counted by their commit rows, new ones by what was really written.
+        The candidate is evaluated and written once.  Of periods that the history has, only what
+        a comparison with their commit row needs is written, and deleted again; new ones stay
+        where they are.  Columns are matched by name; a candidate with others than the history
+        is refused before anything is written.  ``files`` (period, path, length, modified) is
+        kept with what is committed.  If another writer commits a period first, the result says
+        how this candidate compares with it.
+        """
+        done = self._publish(candidate, expected, files)
+        return done.results, run_status(done.results, self.spec)
+
+    def publish_checked(self, candidate: DataFrame, period: str | None = None) -> DataFrame:
+        """Guarded publish; one row of checks per published period.
+
+        The columns must be those of the history in the same order, no row may repeat the
+        header, and with ``period`` all rows must belong to it; else nothing is published and
+        all periods are ``blocked``.  What the guards need is counted while the rows are written.
+        Then the rows read back must be as many as were written, and the commit row as the log
+        now has it must agree with them.
         """
         spec = self.spec
-        commits = self.commits()
-        if commits is None:
-            before = self.spark.createDataFrame([], f"`{spec.period}` string, filas bigint")
-        else:
-            before = materialize(
-                commits.select(spec.period, F.col("row_count").alias("filas")), "before"
+        before = materialize(self.period_counts(), "before")
+        done = self._publish(candidate, strict=True, period=period)
+        if done.refused is not None:
+            existing = F.coalesce("filas", F.lit(0).cast("bigint"))
+            return done.results.join(before, spec.period, "left").select(
+                spec.period,
+                existing.alias("rows_before"),
+                F.lit(0).cast("bigint").alias("rows_inserted"),
+                existing.alias("rows_after"),
+                F.lit("blocked").alias("status"),
+                F.lit("blocked").alias("validation_status"),
+                F.lit(done.refused).alias("error_message"),
             )
-        results, _ = self.publish(candidate)
-        loaded = results.filter(F.col("status") == "success_loaded")
-        written = self.read().join(loaded.select(spec.period), spec.period, "left_semi")
-        prints = materialize(period_fingerprint(written, spec), "written")
-        after = before.unionByName(prints.select(spec.period, F.col("row_count").alias("filas")))
+        loaded = done.results.filter(F.col("status") == "success_loaded")
+        all_there = F.lit(done.rows_written == done.rows_read_back)
         inserted = loaded.select(
             spec.period,
-            F.col("rows_processed").alias("expected"),
+            F.when(all_there, F.col("rows_processed")).alias("expected"),
             F.col("rows_loaded").alias("inserted"),
         )
-        again = compare_periods(
-            loaded.select(
-                spec.period,
-                F.col("rows_processed").alias("row_count"),
-                F.col("period_fingerprint_hash").alias("fingerprint_sha256"),
-            ),
-            prints,
-            spec=spec,
-        )
-        return publish_post_checks(before, inserted, after, again, spec)
+        prints = done.prints.join(loaded.select(spec.period), spec.period, "left_semi")
+        again = compare_periods(prints.select(*done.prints.columns), self.commits(), spec=spec)
+        return publish_post_checks(before, inserted, self.period_counts(), again, spec)
 
 
 class ConstraintError(ValueError):
@@ -314,67 +488,127 @@ class ConstraintError(ValueError):
 
 @dataclass
 class FactTables:
-    """Staging and facts below ``path``, both by period, insert-only and committed."""
+    """Staging and facts below ``path``, both by period, insert-only and committed.
+
+    A commit row keeps the period's row count, sums and flag counts as they were read back from
+    what was written, so reconciliation and housekeeping read no data.  Control rows and run
+    manifests are :class:`VersionedLog` tables: every state they had can be read.
+    """
 
     spark: SparkSession
     path: str
     spec: CubeSpec = DEFAULT_SPEC
 
     def table(self, name: str) -> PeriodTable:
-        return PeriodTable(self.spark, f"{self.path}/{name}", self.spec)
+        return PeriodTable(self.spark, f"{self.path}/{name}", self.spec, SIDE_TOTALS)
+
+    @property
+    def control_log(self) -> VersionedLog:
+        return VersionedLog(self.spark, f"{self.path}/control", CONTROL)
+
+    @property
+    def manifest_log(self) -> VersionedLog:
+        return VersionedLog(self.spark, f"{self.path}/manifests", MANIFESTS)
 
-    def _read(self, name: str) -> DataFrame:
+    def _read(self, name: str, periods: list[str] | None = None) -> DataFrame:
         empty = empty_table(self.spark, name, self.spec)
-        rows = self.table(name).read()
+        rows = self.table(name).read(periods)
         if rows is None:
             return empty
         return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in empty.schema])
 
-    def staging(self) -> DataFrame:
-        return self._read("staging")
+    def staging(self, periods: list[str] | None = None) -> DataFrame:
+        return self._read("staging", periods)
+
+    def facts(self, periods: list[str] | None = None) -> DataFrame:
+        return self._read("facts", periods)
 
-    def facts(self) -> DataFrame:
-        return self._read("facts")
+    def totals(self, name: str) -> DataFrame:
+        """Row count, sums and flag counts per period of 'staging' or 'facts', as committed."""
+        log = self.table(name).log.read()
+        return log.drop(ATTEMPT, "columns", VERSION)
 
-    def control(self) -> DataFrame:
+    def control(self, as_of: int | None = None) -> DataFrame:
         """The control table: of the rows written for a period, the last one."""
-        empty = empty_table(self.spark, "control", self.spec)
-        log = read_if_written(self.spark, f"{self.path}/control")
-        if log is None:
-            return empty
-        return latest_per_key(log, self.spec.period, [F.col("version").desc()]).select(*empty.columns)
-
-    def _log_control(self, rows: DataFrame) -> None:
-        """Control rows are added, never changed: a torn write adds none of them."""
-        log = read_if_written(self.spark, f"{self.path}/control")
-        last = 0 if log is None else log.agg(F.max("version")).first()[0] or 0
-        columns = empty_table(self.spark, "control", self.spec).columns
-        numbered = rows.select(*columns).withColumn("version", F.lit(last + 1))
-        # one row per month at most; written aside first, as it may be read from the same log
-        materialize(numbered, "control").coalesce(1).write.mode("append").parquet(
-            f"{self.path}/control"
-        )
+        return self.control_log.latest(self.spec.period, as_of)
+
+    def manifests(self, as_of: int | None = None) -> DataFrame:
+        """The last state of every run, now or at a version of the log."""
+        return self.manifest_log.latest("run_id", as_of)
+
+    def final_manifests(self, as_of: int | None = None) -> DataFrame:
+        """The latest completed manifest of every period, or else the latest one."""
+        return final_manifests(self.manifests(as_of), self.spec)
 
     def register(self, requested: DataFrame, run_id: str) -> None:
         """Pending control rows for requested periods that are new to control and facts."""
-        commits = self.table("facts").commits()
-        if commits is None:
-            counts = self.spark.createDataFrame([], f"`{self.spec.period}` string, filas bigint")
-        else:
-            counts = commits.select(self.spec.period, "filas")
-        existing = existing_period_check(requested, self.control(), counts, self.spec)
-        self._log_control(register_pending(existing, run_id, spec=self.spec))
 
-    def finalize(self, run_id: str) -> DataFrame:
-        """Check the promoted periods and mark those that pass as loaded; returns the checks."""
-        control = self.control()
-        checks = materialize(
-            post_promotion_checks(self.staging(), self.facts(), control, spec=self.spec), "checks"
+        def decide(log: DataFrame) -> DataFrame:
+            control = _last(log, self.spec.period)
+            existing = existing_period_check(requested, control, self.totals("facts"), self.spec)
+            return register_pending(existing, run_id, spec=self.spec)
+
+        self.control_log.append(decide)
+
+    def register_runs(self, wanted: DataFrame) -> None:
+        """Pending manifests for (run_id, period) with a control row; a run id is used once."""
+
+        def decide(log: DataFrame) -> DataFrame:
+            new = register_manifests(wanted, self.control(), _last(log, "run_id"), self.spec)
+            return new.withColumns(
+                {
+                    "started_at": F.lit(None).cast("timestamp"),
+                    "finished_at": F.lit(None).cast("timestamp"),
+                    "config_hash_sha256": F.lit(None).cast("string"),
+                    "created_at": F.current_timestamp(),
+                }
+            )
+
+        self.manifest_log.append(decide)
+
+    def checks(self, requested: DataFrame | None = None) -> DataFrame:
+        """Staging against facts for every period, from the commit rows."""
+        return checks_of_totals(
+            self.totals("staging"), self.totals("facts"), self.control(), requested, self.spec
         )
-        final = finalize_control(control, checks, run_id=run_id, spec=self.spec)
-        self._log_control(final.where("finalized"))
+
+    def finalize(self, run_id: str) -> DataFrame:
+        """Mark the promoted periods that pass the checks as loaded; returns the checks."""
+        checks = materialize(self.checks(), "checks")
+
+        def decide(log: DataFrame) -> DataFrame:
+            control = _last(log, self.spec.period)
+            return finalize_control(control, checks, run_id=run_id, spec=self.spec).where("finalized")
+
+        self.control_log.append(decide)
         return checks
 
+    def finalize_runs(self, requested: DataFrame | None = None) -> DataFrame:
+        """Complete the pending runs of loaded periods that pass; (run_id, …, reason) of all runs.
+
+        The new state carries the checks in its JSON, and the JSON it had before inside that.
+        """
+        checks = materialize(self.checks(), "checks")
+
+        def decided(log: DataFrame) -> DataFrame:
+            return finalize_manifests(_last(log, "run_id"), checks, requested=requested, spec=self.spec)
+
+        outcome = materialize(decided(self.manifest_log.read()), "runs")
+        self.manifest_log.append(lambda log: decided(log).where("finalized"))
+        return outcome
+
+    def housekeeping(self, source: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+        """Which source periods may be archived; of the stored tables only logs are read."""
+        return housekeeping_of_totals(
+            source,
+            self.totals("staging"),
+            self.totals("facts"),
+            self.control(),
+            self.final_manifests(),
+            requested,
+            self.spec,
+        )
+
     def _append(self, name: str, rows: DataFrame, check=None) -> None:
         """Write, check what was written, then commit its periods."""
         table = self.table(name)
@@ -382,14 +616,18 @@ class FactTables:
         written = table.written(attempt, rows.columns)
         if check is not None:
             check(written)
-        counts = written.groupBy(self.spec.period).agg(F.count("*").alias("filas"))
-        table.commit(counts, attempt, rows.columns)
+        totals = materialize(side_totals(written, self.spec), "totals")
+        table.commit(totals, attempt, rows.columns)
+        table.discard(attempt)
 
     def load_staging(self, source: DataFrame, control: DataFrame, run_id: str) -> None:
         """Stage the periods of ``source`` that have a control row and are not staged yet."""
-        rows = staging_projection(source, run_id, self.spec)
-        new = rows_to_stage(rows, control, self.table("staging").periods(), self.spec)
-        self._append("staging", by_period(new, self.spec))
+        controlled = {r[0] for r in control.select(self.spec.period).distinct().collect()}
+        if new := sorted(controlled - set(self.table("staging").known())):
+            rows = staging_projection(source, run_id, self.spec)
+            # literal months: sources by period open these only
+            rows = rows.where(F.col(self.spec.period).isin(new))
+            self._append("staging", by_period(rows, self.spec))
 
     def promote(self, control: DataFrame) -> None:
         """Promote staged periods without facts; raises and commits nothing on a broken rule."""
@@ -401,6 +639,13 @@ class FactTables:
             if found:
                 raise ConstraintError("; ".join(found))
 
-        present = self.table("facts").periods()
-        rows = rows_to_promote(self.staging(), control, present, self.spec)
-        self._append("facts", rows, check)
+        controlled = {r[0] for r in control.select(self.spec.period).distinct().collect()}
+        staged = set(self.table("staging").known()) & controlled
+        if new := sorted(staged - set(self.table("facts").known())):
+            rows = self.staging(new)
+            self._append("facts", by_period(fact_defaults(rows, self.spec), self.spec), check)
+
+
+def _last(log: DataFrame, key: str) -> DataFrame:
+    """The last row of each key in a log that was read."""
+    return latest_per_key(log, key, [F.col(VERSION).desc()]).drop(VERSION)

@@ -624,3 +624,93 @@ def control_lifecycle(spark, sf):
     return tables.control().select(
         P, "status", "row_count", "sum_ta", "sum_masa_sal_ta", "run_id"
     )
+
+
+_RUN_STATES = f"""SELECT 'run-' || {P} AS run_id, {P}, {P} < '2001' AS promoted,
+count(*) FILTER (WHERE ptpd = '0') = 0 OR {MONTH} % 2 = 0 AS clean, count(*) AS n FROM facts GROUP BY 2"""
+
+
+def _stored_facts(spark, sf):
+    """Months registered with a run each; those before 2001 staged, promoted and finalised; twice."""
+    flag = F.when((F.expr(MONTH) % 2 == 0) & (F.col("ptpd") == "0"), "no_aplica")
+    cube = cube_aggregate(star_cube(spark, sf)).withColumn("ptpd", F.coalesce(flag, "ptpd"))
+    tables = FactTables(spark, fresh_path(spark, "facts"))
+    months = _months(spark, sf)
+    runs = months.select(F.concat(F.lit("run-"), P).alias("run_id"), P)
+    for _ in range(2):
+        tables.register(months, "run-1")
+        # December runs are not registered
+        tables.register_runs(runs.filter(F.expr(MONTH) != 12))
+        tables.load_staging(cube.filter(F.col(P) < "2001"), tables.control(), "run-1")
+        tables.promote(tables.control())
+        tables.finalize("run-2")
+        tables.finalize_runs()
+    return tables
+
+
+@query(
+    "manifest_lifecycle",
+    over(
+        "facts",
+        f"""SELECT run_id, CASE WHEN promoted AND clean THEN 'completed' ELSE 'pending' END AS status,
+        CASE WHEN promoted AND clean THEN 'final_manifest' ELSE 'manifest_only' END AS run_mode,
+        CASE WHEN promoted AND clean THEN 'passed' END AS validation_status,
+        CASE WHEN promoted AND clean THEN CAST(n AS VARCHAR) END AS row_count,
+        CASE WHEN promoted AND clean THEN {P} END AS period_before,
+        {big("CASE WHEN promoted AND clean THEN 2 ELSE 1 END", "states")},
+        'pending' AS status_before FROM s WHERE {MONTH} <> 12""",
+        s=_RUN_STATES,
+    ),
+)
+def manifest_lifecycle(spark, sf):
+    """Stored runs after two rounds: each state once, the one before still inside and readable."""
+    tables = _stored_facts(spark, sf)
+    states = tables.manifest_log.read().groupBy("run_id").agg(F.count("*").alias("states"))
+    first = tables.manifests(as_of=1).select("run_id", F.col("status").alias("status_before"))
+    before = F.get_json_object("manifest_json", "$.previous_manifest_json")
+    return (
+        tables.manifests()
+        .join(states, "run_id")
+        .join(first, "run_id", "left")
+        .select(
+            "run_id",
+            "status",
+            "run_mode",
+            F.get_json_object("manifest_json", "$.validation_status").alias("validation_status"),
+            F.get_json_object("manifest_json", "$.row_count").alias("row_count"),
+            F.get_json_object(before, f"$.{P}").alias("period_before"),
+            "states",
+            "status_before",
+        )
+    )
+
+
+@query(
+    "housekeeping_stored",
+    over(
+        "facts",
+        f"""SELECT {P}, {big("n", "csv_rows_detected")}, {big("CASE WHEN promoted THEN n ELSE 0 END", "staging_row_count")},
+        {big("CASE WHEN promoted THEN n ELSE 0 END", "final_row_count")},
+        CASE WHEN promoted AND clean THEN 'loaded' ELSE 'pending' END AS period_control_status,
+        promoted AND clean AND {MONTH} <> 12 AS final_manifest_exists,
+        promoted AND clean AND {MONTH} <> 12 AS eligible_for_housekeeping,
+        concat_ws(';', CASE WHEN NOT promoted THEN 'staging_exists;final_exists' END,
+          CASE WHEN NOT (promoted AND clean) THEN 'period_control_loaded' END,
+          CASE WHEN NOT (promoted AND clean AND {MONTH} <> 12) THEN 'final_manifest_exists' END) AS failed_checks
+        FROM s""",
+        s=_RUN_STATES,
+    ),
+)
+def housekeeping_stored(spark, sf):
+    """Which months may be archived, asked of the stored tables: counts and sums are in their logs."""
+    found = _stored_facts(spark, sf).housekeeping(cube_aggregate(star_cube(spark, sf)).select(P))
+    return found.select(
+        P,
+        "csv_rows_detected",
+        "staging_row_count",
+        "final_row_count",
+        "period_control_status",
+        "final_manifest_exists",
+        "eligible_for_housekeeping",
+        "failed_checks",
+    )

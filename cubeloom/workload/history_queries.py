@@ -13,7 +13,7 @@ from cubeloom.operators.audit import fact_constraint_violations, light_period_au
 from cubeloom.operators.cube import cube_aggregate
 from cubeloom.operators.normalize import fact_defaults
 from cubeloom.session import fresh_path
-from cubeloom.sources.tables import PeriodHistory, read_period_table, write_parquet
+from cubeloom.sources.tables import PeriodHistory, read_period_table, write_csv, write_parquet
 from cubeloom.spec import DEFAULT_SPEC as SPEC
 from cubeloom.workload.cube_queries import P, rows_with
 from cubeloom.workload.oracle import big, dbl, listed, over
@@ -275,6 +275,67 @@ def publish_post_checks(spark, sf):
     return history.publish_checked(cube)
 
 
+_BLOCKED = f"""SELECT {P}, {{before}} AS rows_before, {big("0", "rows_inserted")},
+{{before}} AS rows_after, 'blocked' AS status, 'blocked' AS validation_status,
+'{{message}}' AS error_message FROM g WHERE {{months}}"""
+
+
+@query(
+    "publish_column_guard",
+    over(
+        "cube",
+        _BLOCKED.format(
+            before=f"CAST(CASE WHEN {P} < '1999' THEN n ELSE 0 END AS BIGINT)",
+            message=H.MESSAGES["other_columns"],
+            months=f"{P} >= '1998'",
+        ),
+        g=_STORED,
+    ),
+)
+def publish_column_guard(spark, sf):
+    """The same columns in another order: a guarded publish blocks all months, new and known."""
+    history = PeriodHistory(spark, fresh_path(spark, "history"))
+    cube = _cube(spark, sf)
+    history.publish(cube.filter(F.col(P) < "1999"))
+    swapped = cube.select(*cube.columns[:-2], cube.columns[-1], cube.columns[-2])
+    return history.publish_checked(swapped.filter(F.col(P) >= "1998"))
+
+
+@query(
+    "publish_header_guard",
+    over(
+        "cube",
+        _BLOCKED.format(
+            before="CAST(0 AS BIGINT)", message=H.MESSAGES["header_row"], months=f"{P} >= '1999'"
+        )
+        + f" UNION ALL SELECT {P}, {big('n', 'a')}, {big('0', 'b')}, {big('n', 'c')}, 'stored', 'stored', '' "
+        f"FROM g WHERE {P} < '1998'",
+        g=_STORED,
+    ),
+)
+def publish_header_guard(spark, sf):
+    """A delivery whose CSV files were joined with their header lines is blocked whole."""
+    history = PeriodHistory(spark, fresh_path(spark, "history"))
+    cube, path = _cube(spark, sf), fresh_path(spark, "delivery")
+    history.publish(cube.filter(F.col(P) < "1998"))
+    write_csv(cube.filter(F.col(P) >= "1999"), path)
+    # read as text without a header, so the header line of every file is a row
+    texts = ", ".join(f"`{c}` string" for c in cube.columns)
+    delivery = spark.read.schema(texts).csv(path, escape='"')
+    blocked = history.publish_checked(delivery)
+    stored = history.read().groupBy(P).agg(F.count("*").alias("n"))
+    kept = stored.select(
+        P,
+        F.col("n").alias("rows_before"),
+        F.lit(0).cast("bigint").alias("rows_inserted"),
+        F.col("n").alias("rows_after"),
+        F.lit("stored").alias("status"),
+        F.lit("stored").alias("validation_status"),
+        F.lit("").alias("error_message"),
+    )
+    return blocked.unionByName(kept)
+
+
 _SCANNED = (*SPEC.keys, "ta", "masa_sal_ta", "sbc_total")
 
 
@@ -347,3 +408,39 @@ def set_difference(spark, sf):
     part = rows.filter((F.col("no_trabajadores") < 3) | F.col(P).startswith("1999-"))
     ignored = ("timestamp", "no_trabajadores")
     return H.multiset_difference(stamped, part.withColumn("timestamp", F.lit("b")), ignored)
+
+
+_BOTH = (*SPEC.keys, *SPEC.measures)
+_LEFT = "SELECT * FROM norm WHERE no_trabajadores > 1 UNION ALL SELECT * FROM norm WHERE ta > 48"
+_RIGHT = (
+    f"SELECT * REPLACE (CASE WHEN {P} LIKE '1999-%' AND ta = 7 THEN masa_sal_ta + 1 ELSE masa_sal_ta END "
+    "AS masa_sal_ta) FROM norm WHERE no_trabajadores < 6"
+)
+
+
+@query(
+    "set_difference_both",
+    over(
+        "norm",
+        f"""SELECT side, {listed(SPEC.keys)}, {listed(SPEC.measures, "CAST({0} AS DOUBLE) AS {0}")}, {big("count(*)", "copies")}
+        FROM (SELECT 'left' AS side, * FROM (SELECT {listed(_BOTH)} FROM a EXCEPT ALL SELECT {listed(_BOTH)} FROM b)
+        UNION ALL
+        SELECT 'right' AS side, * FROM (SELECT {listed(_BOTH)} FROM b EXCEPT ALL SELECT {listed(_BOTH)} FROM a))
+        GROUP BY ALL""",
+        a=_LEFT,
+        b=_RIGHT,
+    ),
+)
+def set_difference_both(spark, sf):
+    """Two files of one delivery over all keys and measures; what only one of them has, counted."""
+    rows = rows_with(spark, sf, SPEC.keys, SPEC.measures).select(*_BOTH)
+    line, jobs = F.col("no_trabajadores"), F.col("ta")
+    left = rows.filter(line > 1).unionByName(rows.filter(jobs > 48)).withColumn("timestamp", F.lit("a"))
+    dearer = F.col(P).startswith("1999-") & (jobs == 7)
+    right = rows.filter(line < 6).withColumns(
+        {
+            "masa_sal_ta": F.when(dearer, F.col("masa_sal_ta") + 1).otherwise(F.col("masa_sal_ta")),
+            "timestamp": F.lit("b"),
+        }
+    )
+    return H.multiset_differences(left, right, ignore=("timestamp",))
