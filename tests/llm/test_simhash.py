@@ -168,7 +168,7 @@ def test_near_groups_of_a_crowd_with_decoys(spark):
 def test_near_groups_over_several_blocks(spark, monkeypatch):
     from cubeloom.llm import simhash_wide
 
-    for name, value in (("SMALL", 4), ("NEAREST", 1), ("WINDOW", 16), ("RANKS", ((0, 1), (1, 2), (2, 1 << 62)))):
+    for name, value in (("BUCKET", 16), ("CELL_SHINGLES", 3_000), ("STRIP", 8), ("DENSE", 4_000)):
         monkeypatch.setattr(simhash_wide, name, value)
     texts = planted()
     sets = [shingles(t) for t in texts]
@@ -199,3 +199,36 @@ def test_wide_sketch_is_of_the_set():
     cycle = " ".join(["a", "b", "c", "d", "e", "f"] * 3).encode()
     more = " ".join(["a", "b", "c", "d", "e", "f"] * 50 + ["a", "b"]).encode()
     assert sketch(cycle, 5) == sketch(more, 5) != sketch(once, 5)
+
+
+def test_near_groups_of_repeated_doc_ids_with_different_texts(spark):
+    rng = random.Random(3)
+    make = lambda: ["w%d" % rng.randrange(9_000) for _ in range(100)]
+    a, z = make(), make()
+    near = [*a[:-2], "other", "words"]
+    rows = [(1, a), (5, z), (5, near), (6, [*z[:-1], "end"]), (None, [*a[:-1], "last"]), (None, make()), (7, make())]
+    rows = [(i, " ".join(w)) for i, w in rows] + [(6, None), (3, "")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, node string")
+    got = {(r.doc_id, r.component_id) for r in near_components(df).collect()}
+    assert got == {(1, 1), (5, 5), (5, 1), (6, 5), (None, 1), (None, None), (7, 7), (6, 3), (3, 3)}
+    kept = sorted(((r.doc_id, r.text) for r in keep_one(df).collect()), key=str)
+    assert kept == sorted([rows[0], rows[1], rows[5], rows[6], rows[8]], key=str)
+
+
+@pytest.mark.parametrize("n", [300, 600])
+def test_a_crowd_just_below_the_similarity_leaves_few_links(n):
+    """Most pairs of a cell fall short by little: all are counted, no pair leaves the task."""
+    from cubeloom.llm.simhash_wide import linked_sets
+
+    rng = random.Random(n)
+    base = list(range(150))
+    sets = []
+    for i in range(n):
+        own = set(base)
+        for k in range(rng.randint(5, 20)):
+            own.discard(rng.choice(base))
+            own.add(1_000 + (i * 100 + k if rng.random() < 0.9 else rng.randrange(50)))
+        sets.append(np.array(sorted(own), np.int64))
+    want = plain_components(list(range(n)), lambda i, j: jaccard(*(set(sets[k].tolist()) for k in (i, j))) >= 0.8)
+    labels = linked_sets(sets, 0.8)
+    assert labels.tolist() == want and 1 < len(set(want)) < n
