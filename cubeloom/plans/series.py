@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubeloom.functions.numbers import exact_sum, safe_ratio
+from cubeloom.functions.numbers import exact_sum, joined_units, rest, safe_ratio, units
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 
@@ -94,9 +94,9 @@ def top_k_entities(
 def top_k_rows(df: DataFrame, value: str, k: int = 15, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Last-period rows by entity and sex of the k largest entities."""
     snap = latest_snapshot(df, value, [spec.entity, spec.sex], spec=spec)
-    # sums of a few exact numbers; one row per entity and sex gets to the ranking
-    exact = F.col("asegurados").cast("decimal(28,4)")
-    whole = F.sum(exact).over(Window.partitionBy(spec.entity))
+    # summed without rounding; one row per entity and sex gets to the ranking
+    value, own = F.col("asegurados"), Window.partitionBy(spec.entity)
+    whole = joined_units(F.sum(units(value)).over(own), F.sum(rest(value)).over(own))
     order = Window.partitionBy(F.lit(0)).orderBy(
         F.col("_whole").desc_nulls_last(), F.col(spec.entity).asc_nulls_last()
     )

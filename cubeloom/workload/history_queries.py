@@ -12,6 +12,7 @@ from cubeloom.operators import history as H
 from cubeloom.operators.audit import fact_constraint_violations, light_period_audit
 from cubeloom.operators.cube import cube_aggregate
 from cubeloom.operators.normalize import fact_defaults
+from cubeloom.plans import series
 from cubeloom.session import fresh_path
 from cubeloom.sources.tables import PeriodHistory, read_period_table, write_csv, write_parquet
 from cubeloom.spec import DEFAULT_SPEC as SPEC
@@ -336,6 +337,21 @@ def publish_header_guard(spark, sf):
     return blocked.unionByName(kept)
 
 
+@query(
+    "stored_snapshot",
+    over(
+        "cube",
+        f"""SELECT CAST({P} AS DATE) AS periodo, cve_entidad, sexo, {dbl("SUM(ta)", "asegurados")}
+        FROM cube WHERE {P} = (SELECT MAX({P}) FROM cube) GROUP BY 1, 2, 3""",
+    ),
+)
+def stored_snapshot(spark, sf):
+    """The last month of a published history: its name is in the log, only its folder is read."""
+    history = PeriodHistory(spark, fresh_path(spark, "history"))
+    history.publish(_cube(spark, sf))
+    return series.latest_snapshot(history.read_last(), "ta", ["cve_entidad", "sexo"])
+
+
 _SCANNED = (*SPEC.keys, "ta", "masa_sal_ta", "sbc_total")
 
 
