@@ -93,6 +93,12 @@ def _escaped(value: str) -> str:
     return f"replace(replace({value}, '<', '<\\'), '[', '[\\')"
 
 
+_FOLLOWS = " OR ".join(
+    f"(before = '{before}' AND role IN ({', '.join(repr(r) for r in allowed)}))"
+    for before, allowed in chat.ChatTemplate().follows.items()
+)
+
+
 @query(
     "op4_chat",
     rf"""
@@ -100,8 +106,14 @@ def _escaped(value: str) -> str:
       SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
       UNION ALL SELECT -7, 0, 'user', '{_CHAT_EXTRA}'
       UNION ALL SELECT -7, 1, 'assistant', '{_CHAT_EXTRA}'
+    ), steps AS (
+      SELECT *, row_number() OVER w - 1 AS place, {_FOLLOWS} AS allowed
+      FROM (SELECT *, lag(role, 1, 'start') OVER w AS before FROM turns
+            WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
     )
-    SELECT conv_id, count(*) AS n_turns,
+    SELECT conv_id, count(*) AS n_turns, bool_and(allowed) AS valid,
+      CAST(min(place) FILTER (WHERE NOT allowed) AS INTEGER) AS first_bad_turn,
       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
         AS turns_sha256,
       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
@@ -109,7 +121,7 @@ def _escaped(value: str) -> str:
         FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
       sum(length({_escaped("text")}) + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13
         WHEN 'assistant' THEN 7 END)::BIGINT AS formatted_chars
-    FROM turns GROUP BY conv_id
+    FROM steps GROUP BY conv_id
     """,
 )
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +136,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = made.select(
         "conv_id",
         "formatted",
+        "valid",
+        "first_bad_turn",
         chat.read_turns(F.col("formatted")).alias("read"),
         chat.loss_text(F.col("segments")).alias("loss"),
     )
@@ -135,6 +149,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        "first_bad_turn",
     )
 
 
