@@ -333,3 +333,20 @@ def late_files(spark, sf):
     return results.join(stored, P).select(
         P, "status", "rows_processed", "rows_existing", "rows_loaded", "rows_in_history"
     )
+
+
+@query(
+    "quoted_breaks_scan",
+    over(
+        "raw",
+        f"""SELECT "{P}", CASE WHEN no_trabajadores = 5 THEN cve_municipio || chr(10) || '|' || sexo
+        ELSE nullif(cve_municipio, '') END AS cve_municipio, {big("count(*)", "filas")},
+        {dbl("SUM(masa_sal_teu)", "masa_sal_teu")} FROM raw GROUP BY 1, 2""",
+    ),
+)
+def quoted_breaks_scan(spark, sf):
+    """Fields that hold a line break and a separator, in files of every layout."""
+    raw = R.read_raw(spark, write_landing(spark, sf, breaks=True))
+    return raw.groupBy(P, "cve_municipio").agg(
+        F.count("*").alias("filas"), exact_sum(number_column(raw, "masa_sal_teu")).alias("masa_sal_teu")
+    )
