@@ -268,8 +268,8 @@ def merge_drifting_partials(spark, sf):
     "incremental_ingest",
     over(
         "raw",
-        f"""SELECT {P}, {big("count(*)", "filas")}, {dbl("SUM(ta)", "ta")},
-        {dbl("SUM(masa_sal_ta)", "masa_sal_ta")} FROM cube GROUP BY 1""",
+        f"""SELECT {P}, {big("count(*)", "filas")},
+        {listed(SPEC.sums, "CAST(SUM({0}) AS DOUBLE) AS {0}")} FROM cube GROUP BY 1""",
         files=read_sql(),
         norm=NORM_SQL.replace("FROM raw", "FROM files"),
         cube=CUBE_SQL,
@@ -283,9 +283,7 @@ def incremental_ingest(spark, sf):
     for _ in range(2):
         ingest_available(spark, landing, checkpoint, history, max_files_per_trigger=64)
     return history.read().groupBy(P).agg(
-        F.count("*").alias("filas"),
-        exact_sum(F.col("ta")).alias("ta"),
-        exact_sum(F.col("masa_sal_ta")).alias("masa_sal_ta"),
+        F.count("*").alias("filas"), *[exact_sum(F.col(c)).alias(c) for c in SPEC.sums]
     )
 
 

@@ -386,47 +386,42 @@ def parquet_roundtrip(spark, sf):
 
 # ---------------------------------------------------------------- set operations
 
-_DEDUP = (P, "cve_entidad", "sexo", "sector_economico_1", "ta")
+_WIDE = (*SPEC.keys, *SPEC.measures)
+_WIDE_SQL = f"""{listed(SPEC.keys)}, {listed(SPEC.measures, "CAST({0} AS DOUBLE) AS {0}")}"""
 
 
 @query(
     "dedup_ignore_metadata",
     over(
         "norm",
-        f"""SELECT {listed(_DEDUP[:-1])}, {dbl("ta", "ta")},
-        CASE WHEN {P} < '1999' THEN 'run-1' ELSE 'run-2' END AS timestamp
-        FROM (SELECT DISTINCT {listed(_DEDUP)} FROM norm)""",
+        f"""SELECT {_WIDE_SQL}, CASE WHEN {P} < '1999' THEN 'run-1' ELSE 'run-2' END AS timestamp
+        FROM (SELECT DISTINCT {listed(_WIDE)} FROM norm)""",
     ),
 )
 def dedup_ignore_metadata(spark, sf):
     """Two runs that overlap before 1999: the first one's rows win."""
-    rows = rows_with(spark, sf, _DEDUP[:-1], ("ta",))
+    rows = rows_with(spark, sf, SPEC.keys, SPEC.measures).select(*_WIDE)
     first = rows.filter(F.col(P) < "1999").withColumn("timestamp", F.lit("run-1"))
     second = rows.withColumn("timestamp", F.lit("run-2"))
     return H.dedup_ignore_metadata(first, second)
 
 
-_DIFF = (P, "sexo", "ptpd", "ta")
-
-
 @query(
     "set_difference",
     over(
         "norm",
-        f"""SELECT {listed(_DIFF[:-1])}, {dbl("ta", "ta")} FROM (
-        SELECT {listed(_DIFF)} FROM norm EXCEPT ALL
-        SELECT {listed(_DIFF)} FROM norm WHERE no_trabajadores < 3 OR {P} LIKE '1999-%')""",
+        f"""SELECT {_WIDE_SQL} FROM (
+        SELECT {listed(_WIDE)} FROM norm EXCEPT ALL
+        SELECT {listed(_WIDE)} FROM norm WHERE no_trabajadores < 3 OR {P} LIKE '1999-%')""",
     ),
 )
 def set_difference(spark, sf):
-    rows = rows_with(spark, sf, ("sexo", "ptpd"), ("ta", "no_trabajadores"))
-    stamped = rows.withColumn("timestamp", F.lit("a"))
+    rows = rows_with(spark, sf, SPEC.keys, SPEC.measures).select(*_WIDE)
     part = rows.filter((F.col("no_trabajadores") < 3) | F.col(P).startswith("1999-"))
-    ignored = ("timestamp", "no_trabajadores")
-    return H.multiset_difference(stamped, part.withColumn("timestamp", F.lit("b")), ignored)
+    stamped = rows.withColumn("timestamp", F.lit("a"))
+    return H.multiset_difference(stamped, part.withColumn("timestamp", F.lit("b")), ("timestamp",))
 
 
-_BOTH = (*SPEC.keys, *SPEC.measures)
 _LEFT = "SELECT * FROM norm WHERE no_trabajadores > 1 UNION ALL SELECT * FROM norm WHERE ta > 48"
 _RIGHT = (
     f"SELECT * REPLACE (CASE WHEN {P} LIKE '1999-%' AND ta = 7 THEN masa_sal_ta + 1 ELSE masa_sal_ta END "
@@ -438,10 +433,10 @@ _RIGHT = (
     "set_difference_both",
     over(
         "norm",
-        f"""SELECT side, {listed(SPEC.keys)}, {listed(SPEC.measures, "CAST({0} AS DOUBLE) AS {0}")}, {big("count(*)", "copies")}
-        FROM (SELECT 'left' AS side, * FROM (SELECT {listed(_BOTH)} FROM a EXCEPT ALL SELECT {listed(_BOTH)} FROM b)
+        f"""SELECT side, {_WIDE_SQL}, {big("count(*)", "copies")}
+        FROM (SELECT 'left' AS side, * FROM (SELECT {listed(_WIDE)} FROM a EXCEPT ALL SELECT {listed(_WIDE)} FROM b)
         UNION ALL
-        SELECT 'right' AS side, * FROM (SELECT {listed(_BOTH)} FROM b EXCEPT ALL SELECT {listed(_BOTH)} FROM a))
+        SELECT 'right' AS side, * FROM (SELECT {listed(_WIDE)} FROM b EXCEPT ALL SELECT {listed(_WIDE)} FROM a))
         GROUP BY ALL""",
         a=_LEFT,
         b=_RIGHT,
@@ -449,7 +444,7 @@ _RIGHT = (
 )
 def set_difference_both(spark, sf):
     """Two files of one delivery over all keys and measures; what only one of them has, counted."""
-    rows = rows_with(spark, sf, SPEC.keys, SPEC.measures).select(*_BOTH)
+    rows = rows_with(spark, sf, SPEC.keys, SPEC.measures).select(*_WIDE)
     line, jobs = F.col("no_trabajadores"), F.col("ta")
     left = rows.filter(line > 1).unionByName(rows.filter(jobs > 48)).withColumn("timestamp", F.lit("a"))
     dearer = F.col(P).startswith("1999-") & (jobs == 7)
