@@ -16,7 +16,16 @@ from cubeloom.workload.star_cube import star_cube
 
 P = SPEC.period
 # these write tables or files first, their results are plain scans
-WRITERS = {"insert_only_history", "publish_post_checks", "incremental_ingest"}
+WRITERS = {
+    "insert_only_history",
+    "publish_post_checks",
+    "publish_column_guard",
+    "publish_header_guard",
+    "incremental_ingest",
+    "late_files",
+    "stored_snapshot",
+    "manifest_lifecycle",
+}
 HEADERS = {"layout_resolution", "raw_file_report", "layout_report"}
 
 
