@@ -2,7 +2,7 @@
 
 The state has three tables in the shared folder:
 
-* ``postings``: which document holds which line key (each key once per document);
+* ``postings``: which document holds which line key (each key once per doc_id);
 * ``refs``: for each key, how many documents hold it and the largest doc_id of them;
 * ``filters``: for each shard of the key space, a cuckoo filter of the *frequent* keys,
   those held by at least ``min_docs`` documents.
@@ -303,15 +303,22 @@ def empty_state(spark: SparkSession, **settings: int) -> LineState:
 def insert(
     state: LineState, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> LineState:
-    """The state with the lines of ``docs`` added.  Each row counts as a document."""
-    fresh = materialize(
-        keyed_texts(docs, id_col, text_col).mapInArrow(
-            _postings(state.min_chars), "key binary, doc_id long"
-        ),
-        "line-postings",
+    """The state with the lines of ``docs`` added.
+
+    Rows of one doc_id are one document, in one call or in several: a key is counted once for
+    each doc_id that holds it.  Rows without a doc_id are no documents and count for no key.
+    """
+    found = (
+        keyed_texts(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
+        .mapInArrow(_postings(state.min_chars), "key binary, doc_id long")
+        .distinct()  # by key and document, so a key that fills the corpus spreads over all tasks
     )
+    first = state.refs.isEmpty()
+    if not first:
+        found = found.join(state.postings, ["key", "doc_id"], "left_anti")
+    fresh = materialize(found, "line-postings")
     came = _counted(fresh)
-    if state.refs.isEmpty():
+    if first:
         refs = materialize(came, "line-refs")
         return LineState(
             fresh, refs, _build_filters(refs, state.min_docs), state.min_docs, state.min_chars

@@ -1,4 +1,4 @@
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -10,7 +10,7 @@ SPACES = " \t\n\x0b\x0c\r"
 
 
 def expected(rows, min_chars=20, min_docs=3):
-    held, keep = Counter(), defaultdict(lambda: None)
+    held, keep = defaultdict(set), defaultdict(lambda: None)
 
     def key(line):
         return line.strip(SPACES).encode().lower().decode()
@@ -20,16 +20,16 @@ def expected(rows, min_chars=20, min_docs=3):
 
     for r in rows:
         for k in eligible(r.text or ""):
-            held[k] += 1
-            if r.doc_id is not None and (keep[k] is None or r.doc_id > keep[k]):
-                keep[k] = r.doc_id
+            if r.doc_id is not None:
+                held[k].add(r.doc_id)
+                keep[k] = max(held[k])
     out = []
     for r in rows:
         lines = (r.text or "").split("\n")
         kept = [
             x
             for x in lines
-            if not (len(key(x)) >= min_chars and held[key(x)] >= min_docs and r.doc_id != keep[key(x)])
+            if not (len(key(x)) >= min_chars and len(held[key(x)]) >= min_docs and r.doc_id != keep[key(x)])
         ]
         out.append((r.doc_id, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return sorted(out, key=str)
@@ -90,6 +90,18 @@ def test_batches_and_deletions_are_reversible(spark, tmp_path):
     assert refs(LineState.load(spark, str(tmp_path / "state"))) == refs(whole)
 
 
+def test_a_document_of_several_rows_counts_once(spark):
+    line, other = "a line that is long enough", "another line that is long enough"
+    rows = [(1, line), (1, f"{line}\n{other}"), (2, line), (3, other), (4, other), (None, line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = ld.insert(ld.empty_state(spark), docs)
+    assert got(ld.drop_lines(whole, docs)) == expected(docs.collect())
+    assert sorted(r.refs for r in whole.refs.collect()) == [2, 3]
+    # nor is it counted again when it comes a second time
+    again = ld.insert(whole, docs.where("doc_id < 4"))
+    assert refs(again) == refs(whole) and again.postings.count() == whole.postings.count()
+
+
 def test_cuckoo_filter_takes_and_gives_back_keys():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64) * np.uint64(2))
