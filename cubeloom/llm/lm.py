@@ -40,7 +40,7 @@ from cubeloom.llm.chunks import (
     word_order,
     write_chunks,
 )
-from cubeloom.llm.common import Shared, text_of, tidy
+from cubeloom.llm.common import Shared, shuffle_partitions, text_of, tidy
 from cubeloom.session import materialize
 
 SHAPES = 32
@@ -339,7 +339,9 @@ def _add_pairs(batches):
 def pair_counts(sequences: DataFrame) -> DataFrame:
     """Counts of (history, class) over all training texts: a row for each distance and block."""
     parts = sequences.where("block IS NOT NULL").select("lag", "block", "pairs", "counts")
-    summed = parts.mapInArrow(_add_pairs, PAIRS_DDL).repartition("lag", "block")
+    # a number of partitions that is not merged again: every round reads these files in parallel
+    tasks = shuffle_partitions(sequences.sparkSession)
+    summed = parts.mapInArrow(_add_pairs, PAIRS_DDL).repartition(tasks, "lag", "block")
     return materialize(summed.mapInArrow(_add_pairs, PAIRS_DDL), "lm-pairs")
 
 
@@ -367,31 +369,46 @@ class LogBilinear:
         )
         self.memory = np.full(len(self.numbers), 1e-20)
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"memory": None}  # only the driver steps
+
     def views(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         n, d = self.size, self.width
         r, c, q, b = np.split(numbers, np.cumsum([n * d, d * d, n * d]))
         return r.reshape(n, d), c.reshape(d, d), q.reshape(n, d), b
 
-    def gradient(self, lo: int, shares: np.ndarray, log_noise: np.ndarray) -> np.ndarray:
-        """Of the noise-contrastive loss of the histories from ``lo`` on.
+    def gradient(
+        self, lo: int, shares: np.ndarray, log_noise: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Of the noise-contrastive loss of the histories from ``lo`` on: their rows', the rest's.
 
         ``shares`` (histories, classes) are shares of all pairs; ``log_noise`` is the log of how
         often each class is expected among the noise words of a pair.
         """
         r, c, q, b = self.views(self.numbers)
-        out = np.zeros_like(self.numbers)
-        g_r, g_c, g_q, g_b = self.views(out)
         own = r[lo : lo + len(shares)]
         context = own @ c
-        is_true = 1 / (1 + np.exp(-np.clip(context @ q.T + (b - log_noise), -30, 30)))
+        is_true = context @ q.T
+        is_true += b - log_noise
+        np.clip(is_true, -30, 30, out=is_true)
+        np.negative(is_true, out=is_true)
+        np.exp(is_true, out=is_true)
+        is_true += 1
+        np.reciprocal(is_true, out=is_true)
         # taken for true though noise, less taken for noise though true
-        wrong = shares.sum(1, keepdims=True) * np.exp(log_noise) * is_true - shares * (1 - is_true)
+        wrong = shares.sum(1, keepdims=True) * np.exp(log_noise) + shares
+        wrong *= is_true
+        wrong -= shares
         d_context = wrong @ q
-        g_r[lo : lo + len(shares)] = d_context @ c.T
-        g_c += own.T @ d_context
-        g_q += wrong.T @ context
-        g_b += wrong.sum(0)
-        return out
+        rest = [(own.T @ d_context).ravel(), (wrong.T @ context).ravel(), wrong.sum(0)]
+        return (d_context @ c.T).ravel(), np.concatenate(rest)
+
+    def add_gradient(self, total: np.ndarray, lo: int, shares: np.ndarray, log_noise: np.ndarray) -> None:
+        """Add it to ``total``, in fixed point."""
+        rows, rest = self.gradient(lo, shares, log_noise)
+        at = lo * self.width
+        total[at : at + len(rows)] += np.rint(rows * FIXED).astype(np.int64)
+        total[self.size * self.width :] += np.rint(rest * FIXED).astype(np.int64)
 
     def step(self, gradient: np.ndarray) -> None:
         self.memory += gradient**2
@@ -429,9 +446,8 @@ def _gradients(shared):
                 shares = shares_of(
                     np.cumsum(unpack_longs(pairs)), unpack_longs(counts), block, models[lag].size, total
                 )
-                own = models[lag].gradient(block * HISTORIES, shares, log_noise)
-                own = np.rint(own * FIXED).astype(np.int64)
-                sums[lag] = sums[lag] + own if lag in sums else own
+                own = sums.setdefault(lag, np.zeros(len(models[lag].numbers), np.int64))
+                models[lag].add_gradient(own, block * HISTORIES, shares, log_noise)
         for lag, own in sums.items():
             for part in range(0, len(own), PART):
                 if own[part : part + PART].any():

@@ -150,7 +150,7 @@ def test_noise_contrast_finds_the_conditional_distribution():
     unigram = lm.unigram_of(counts.sum(0))
     model = lm.LogBilinear(unigram, how, rng)
     for _ in range(how.rounds):
-        model.step(model.gradient(0, own, np.log(how.noise * unigram)))
+        model.step(np.concatenate(model.gradient(0, own, np.log(how.noise * unigram))))
     r, c, q, b = model.views(model.numbers)
     got = r @ c @ q.T + b - model.normalisers(0, n)[:, None]
     assert np.exp(got).sum(1) == pytest.approx(1)
