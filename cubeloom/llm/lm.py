@@ -488,7 +488,7 @@ def train(pairs: DataFrame, corpus: CorpusCounts, how: Training) -> list[LogBili
         shared = Shared(spark, (models, log_noise, corpus.tokens))
         summed = pairs.mapInArrow(_gradients(shared), GRADIENT_DDL).repartition("lag", "part")
         gradients = [np.zeros(len(m.numbers)) for m in models]
-        for row in summed.mapInArrow(_add_parts, GRADIENT_DDL).toLocalIterator():
+        for row in summed.mapInArrow(_add_parts, GRADIENT_DDL).collect():
             own = unpack_longs(bytes(row.data)) / FIXED
             gradients[row.lag][row.part * PART : row.part * PART + len(own)] = own
         for model, gradient in zip(models, gradients):
