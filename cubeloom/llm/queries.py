@@ -224,11 +224,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH v AS (
       SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
       FROM embeddings
-      WHERE embedding IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), scored AS (
       SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-        CAST(list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])) AS BIGINT) AS score
+        CAST(coalesce(list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])), 0) AS BIGINT)
+          AS score
       FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
     )
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
@@ -239,7 +239,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
-    return topk.exact_top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+    best = topk.exact_top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+    return best.select("query_id", "rank", "vec_id", "score")
 
 
 @query("op11_whitening")

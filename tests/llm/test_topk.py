@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import pytest
 
@@ -9,9 +10,9 @@ from cubeloom.llm.topk import exact_top_k, quantised
 def plain(rows, k, is_query):
     vectors = []
     for i, v in rows:
-        if i is None or not v or any(x is None or not math.isfinite(x) or abs(256 * x) > 1 << 24 for x in v):
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        vectors.append((i, [math.floor(256 * x) for x in v]))
+        vectors.append((i, [math.floor(Fraction(x) * 256) for x in v]))
     out = set()
     asked = {}
     for i, v in vectors:
@@ -19,7 +20,9 @@ def plain(rows, k, is_query):
             asked[i] = min(asked.get(i, v), v)
     for q, v in asked.items():
         scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in vectors if i != q)[:k]
-        out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scores)}
+        out |= {
+            (q, r + 1, i, -s if -(2**63) <= -s < 2**63 else None, str(-s)) for r, (s, i) in enumerate(scores)
+        }
     return out
 
 
@@ -40,7 +43,7 @@ def test_few_or_no_candidates(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, v array<double>")
     own = quantised(df, "vec_id", "v")
     got = exact_top_k(own.where("vec_id = 0"), own)
-    assert [tuple(r) for r in got.collect()] == [(0, 1, 1, 256 * 512)]
+    assert [tuple(r) for r in got.collect()] == [(0, 1, 1, 256 * 512, str(256 * 512))]
     none = own.where("false")
     assert exact_top_k(none, none).collect() == []
 
@@ -50,24 +53,21 @@ def test_large_components_take_part(spark, blocks):
     rng = random.Random(4)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(40)]
     rows += [(i, [rng.uniform(-1, 1) * 4e6 for _ in range(4)]) for i in range(40, 60)]
-    rows += [(60, [-3e13, 1.0, 0.0, 0.0]), (61, [3e13, -1.0, 0.0, 0.0])]
-    vectors = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
-    asked = lambda i: i % 5 == 0 and i < 60
-    scale = {q: v for q, v in vectors if asked(q)}
-    want = set()
-    for q, v in scale.items():
-        best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in vectors if i != q)[:5]
-        want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best)}
-    kept = {q for q in scale if all(abs(s) < 1 << 63 for p, _, _, s in want if p == q)}
+    rows += [(60, [-3e13, 1.0, 0.0, 0.0]), (61, [3e13, -1.0, 0.0, 0.0]), (62, []), (63, [-0.001])]
+    rows += [(70, [1e30, 1.0]), (71, [-1e30, 2.0]), (72, [1.7e308] * 4), (75, [-1.7e308, 5e-324]), (76, [1e30, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, v array<double>")
     own = quantised(df, "vec_id", "v")
-    got = exact_top_k(own.where(f"vec_id IN ({','.join(map(str, kept))})"), own, 5, *blocks).collect()
-    assert {tuple(r) for r in got} == {w for w in want if w[0] in kept}
-    assert any(w[2] >= 40 for w in want if w[0] in kept and w[0] < 40)
+    got = exact_top_k(own.where("vec_id % 5 = 0"), own, 5, *blocks).collect()
+    want = plain(rows, 5, lambda i: i % 5 == 0)
+    assert {tuple(r) for r in got} == want
+    assert any(w[3] is None and w[4].startswith("-") for w in plain(rows[-9:], 9, lambda i: True))
+    own = own.where("vec_id >= 60")
+    got = exact_top_k(own, own, 9, *blocks).collect()
+    assert {tuple(r) for r in got} == plain(rows[-9:], 9, lambda i: True)
 
 
 def test_sums_beyond_64_bits_that_cancel(spark):
     rows = [(0, [1000.0, -1000.0]), (1, [3e16, 3e16]), (2, [1.0, 0.5])]
     own = quantised(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v")
     got = exact_top_k(own.where("vec_id = 0"), own).collect()
-    assert {tuple(r) for r in got} == {(0, 1, 2, 256_000 * 128), (0, 2, 1, 0)}
+    assert {tuple(r) for r in got} == {(0, 1, 2, 256_000 * 128, "32768000"), (0, 2, 1, 0, "0")}
