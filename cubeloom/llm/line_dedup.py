@@ -5,15 +5,16 @@ The state has three tables in the shared folder:
 * ``postings``: which document holds which line key (each key once per doc_id);
 * ``refs``: for each key, how many documents hold it and the largest doc_id of them;
 * ``filters``: for each shard of the key space, a cuckoo filter of the *frequent* keys,
-  those held by at least ``min_docs`` documents.
+  those held by at least ``min_docs`` documents; the number of shards follows their count.
 
 ``insert`` and ``delete`` change postings and counts exactly and move into or out of the
 filters only the keys that cross the threshold, so deleting what was inserted gives the
 state back.  ``drop_lines`` probes the filters first: a line that no filter knows is surely
 not frequent and never leaves its task.  The rest is decided by a join with the exact table,
 so a false positive of a filter costs a row in a shuffle and never a wrong result.  Filters
-go to the tasks only while their measured size is within ``FILTER_BYTES``; beyond it, all
-eligible lines take the exact join.
+go to all tasks while their measured size is within ``FILTER_BYTES``; beyond it, lines and
+filters meet by shard, and a shard with many lines (one line may fill the corpus) is cut into
+parts that each get its filter.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ from cubeloom.session import materialize
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-SHARDS = 16
+SHARDS = 16  # at least
+SHARD_KEYS = 1 << 18  # frequent keys of a shard when filters are built, half of what it may get
+PART_LINES = 1 << 20  # of a shard that meet its filter in one task
 FILTER_BYTES = 32 << 20
 SLOTS = 4
 LOAD = 0.5  # of a new filter, so that it takes as many keys again
@@ -117,9 +120,14 @@ def key_hashes(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), "<u8")[::2].copy()
 
 
-def shard_of(key: Column) -> Column:
-    """By the last byte of the digest."""
-    return F.conv(F.hex(F.substring(key, 16, 1)), 16, 10).cast("int") % SHARDS
+def shard_of(key: Column, shards: int) -> Column:
+    """By the last four bytes of the digest."""
+    return (F.conv(F.hex(F.substring(key, 13, 4)), 16, 10).cast("long") % shards).cast("int")
+
+
+def shards_for(frequent: int) -> int:
+    """A power of two."""
+    return max(SHARDS, 1 << max(0, -(-frequent // SHARD_KEYS) - 1).bit_length())
 
 
 # ------------------------------------------------------------------ lines of documents
@@ -159,11 +167,11 @@ def _postings(min_chars: int):
 
 
 def _probe(min_chars: int, filters):
-    """Lines that may be frequent; without filters every eligible line."""
+    """Lines that the filters know; without filters every eligible line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tidy()
-        whole = CuckooSet(filters.value) if filters is not None else None
+        whole = CuckooSet(*filters.value) if filters is not None else None
         for rows in batches:
             row_keys, owners, places, keys = [], [], [], []
             for row_key, doc_id, text in zip(
@@ -195,19 +203,57 @@ def _probe(min_chars: int, filters):
 class CuckooSet:
     """The filters of all shards in a task."""
 
-    def __init__(self, tables: dict[int, bytes]):
+    def __init__(self, shards: int, tables: dict[int, bytes]):
+        self.shards = shards
         self.filters = {shard: CuckooFilter.from_bytes(t) for shard, t in tables.items()}
 
     def contains(self, keys: list[bytes]) -> np.ndarray:
         hashes = key_hashes(keys)
-        shards = np.frombuffer(b"".join(keys), np.uint8)[15::16] % SHARDS
+        shards = np.frombuffer(b"".join(keys), ">u4")[3::4] % self.shards
+        order = np.argsort(shards, kind="stable")
+        present, starts = np.unique(shards[order], return_index=True)
         found = np.zeros(len(hashes), bool)
-        for shard, one in self.filters.items():
-            own = np.flatnonzero(shards == shard)
-            found[own] = one.contains(hashes[own])
+        for shard, own in zip(present.tolist(), np.split(order, starts[1:])):
+            if (one := self.filters.get(shard)) is not None:
+                found[own] = one.contains(hashes[own])
         return found
 
 
+LINES_DDL = "row_key long, doc_id long, position int, key binary"
+
+
+def _probe_part(key, lines: pa.Table, filters: pa.Table) -> pa.Table:
+    """Lines of a part of a shard that its filter knows."""
+    tidy()
+    names = ["row_key", "doc_id", "position", "key"]
+    lines = lines.select(names)
+    if not filters.num_rows or not lines.num_rows:
+        return lines.slice(0, 0)
+    one = CuckooFilter.from_bytes(filters.column("own_cells")[0].as_py())
+    return lines.filter(pa.array(one.contains(key_hashes(lines.column("key").to_pylist()))))
+
+
+def _probe_by_shard(lines: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
+    """Lines that may be frequent, found where the filter of their shard is."""
+    lines = materialize(lines.withColumn("shard", shard_of(F.col("key"), shards)), "line-eligible")
+    # one row for each shard
+    parts = lines.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PART_LINES).alias("parts"))
+    dealt = lines.join(parts, "shard").withColumn(
+        "part", F.pmod(F.xxhash64("row_key", "position", "doc_id"), F.col("parts"))
+    )
+    own = filters.join(parts, "shard").select(
+        F.col("shard").alias("own_shard"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("own_part"),
+        F.col("cells").alias("own_cells"),
+    )
+    return (
+        dealt.drop("parts")
+        .groupBy("shard", "part")
+        .cogroup(own.groupBy("own_shard", "own_part"))
+        .applyInArrow(_probe_part, LINES_DDL)
+    )
+
+
 # ------------------------------------------------------------------ state
 
 
@@ -217,7 +263,7 @@ class LineState:
 
     postings: DataFrame  # key, doc_id
     refs: DataFrame  # key, refs, keep_doc
-    filters: DataFrame  # shard, cells
+    filters: DataFrame  # shard, shards (of the whole key space), cells
     min_docs: int = MIN_DOCS
     min_chars: int = MIN_CHARS
 
@@ -237,7 +283,27 @@ def _counted(postings: DataFrame) -> DataFrame:
     )
 
 
+FILTERS_DDL = "shard int, shards int, cells binary"
+
+
+def _filter_row(shard: int, shards: int, cells: bytes | None) -> pa.Table:
+    return pa.table(
+        {
+            "shard": pa.array([shard], pa.int32()),
+            "shards": pa.array([shards], pa.int32()),
+            "cells": pa.array([cells], pa.binary()),
+        }
+    )
+
+
+def _shards(filters: DataFrame) -> int:
+    return filters.agg(F.max("shards")).first()[0] or SHARDS
+
+
 def _build_filters(refs: DataFrame, min_docs: int) -> DataFrame:
+    frequent = refs.where(F.col("refs") >= min_docs)
+    shards = shards_for(frequent.count())
+
     def build(key, rows):
         tidy()
         hashes = key_hashes(rows.column("key").to_pylist())
@@ -247,27 +313,29 @@ def _build_filters(refs: DataFrame, min_docs: int) -> DataFrame:
             if one.insert(hashes):
                 break
             size *= 2
-        return pa.table(
-            {"shard": pa.array([key[0].as_py()], pa.int32()), "cells": [one.to_bytes()]}
-        )
+        return _filter_row(key[0].as_py(), shards, one.to_bytes())
 
-    frequent = refs.where(F.col("refs") >= min_docs)
     built = (
-        frequent.select("key", shard_of(F.col("key")).alias("shard"))
+        frequent.select("key", shard_of(F.col("key"), shards).alias("shard"))
         .groupBy("shard")
-        .applyInArrow(build, "shard int, cells binary")
+        .applyInArrow(build, FILTERS_DDL)
     )
     return materialize(built, "line-filters")
 
 
 def _move_keys(filters: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame | None:
-    """Filters after keys came and went; None if one is too full."""
+    """Filters after keys came and went; None if one is too full, also if for want of shards."""
+    shards = _shards(filters)
     moves = added.select("key", F.lit(True).alias("comes")).unionByName(
         removed.select("key", F.lit(False).alias("comes"))
     )
-    moves = moves.withColumn("shard", shard_of(F.col("key")))
+    moves = moves.withColumn("shard", shard_of(F.col("key"), shards))
+    if added.count() > shards * SHARD_KEYS:
+        return None
+    most = CuckooFilter.sized_for(2 * SHARD_KEYS).cells.size
 
     def change(key, old, rows):
+        shard = key[0].as_py()
         comes = np.array(rows.column("comes").to_pylist(), bool)
         hashes = key_hashes(rows.column("key").to_pylist())
         if old.num_rows:
@@ -275,17 +343,11 @@ def _move_keys(filters: DataFrame, added: DataFrame, removed: DataFrame) -> Data
         else:
             one = CuckooFilter.sized_for(int(comes.sum()))
         one.delete(hashes[~comes])
-        cells = one.to_bytes() if one.insert(hashes[comes]) else None
-        if not cells:
-            return pa.table(
-                {"shard": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([None], pa.binary())}
-            )
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "cells": [one.to_bytes()]})
+        fits = one.insert(hashes[comes]) and one.cells.size <= most
+        return _filter_row(shard, shards, one.to_bytes() if fits else None)
 
     changed = (
-        filters.groupBy("shard")
-        .cogroup(moves.groupBy("shard"))
-        .applyInArrow(change, "shard int, cells binary")
+        filters.groupBy("shard").cogroup(moves.groupBy("shard")).applyInArrow(change, FILTERS_DDL)
     )
     changed = materialize(changed, "line-filters")
     return None if changed.where(F.col("cells").isNull()).take(1) else changed
@@ -295,7 +357,7 @@ def empty_state(spark: SparkSession, **settings: int) -> LineState:
     return LineState(
         spark.createDataFrame([], "key binary, doc_id long"),
         spark.createDataFrame([], "key binary, refs long, keep_doc long"),
-        spark.createDataFrame([], "shard int, cells binary"),
+        spark.createDataFrame([], FILTERS_DDL),
         **settings,
     )
 
@@ -399,17 +461,17 @@ def drop_lines(
     added = ["kept_text", "n_lines", "n_dropped"]
     spark = docs.sparkSession
     frequent = state.refs.where(F.col("refs") >= state.min_docs).select("key", "keep_doc")
-    total = state.filters.agg(F.sum(F.octet_length("cells"))).first()[0] or 0
-    filters = None
-    if total <= filter_bytes:
-        tables = {r.shard: bytes(r.cells) for r in state.filters.collect()}
-        filters = Shared(spark, tables)
     texts = keyed_texts(docs, id_col, text_col)
     texts = texts.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", "text")
-    maybe = texts.mapInArrow(
-        _probe(state.min_chars, filters),
-        "row_key long, doc_id long, position int, key binary",
-    )
+    total = state.filters.agg(F.sum(F.octet_length("cells"))).first()[0] or 0
+    if total <= filter_bytes:
+        tables = {r.shard: (r.shards, bytes(r.cells)) for r in state.filters.collect()}
+        shards = max((n for n, _ in tables.values()), default=SHARDS)
+        filters = Shared(spark, (shards, {shard: cells for shard, (_, cells) in tables.items()}))
+        maybe = texts.mapInArrow(_probe(state.min_chars, filters), LINES_DDL)
+    else:
+        lines = texts.mapInArrow(_probe(state.min_chars, None), LINES_DDL)
+        maybe = _probe_by_shard(lines, state.filters, _shards(state.filters))
     dropped = (
         maybe.join(frequent, "key")
         .where(~F.col("doc_id").eqNullSafe(F.col("keep_doc")))

@@ -2,6 +2,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cubeloom.llm import line_dedup as ld
 from cubeloom.llm.line_dedup import LineState
@@ -40,11 +41,31 @@ def got(df):
 
 
 @pytest.mark.parametrize("filter_bytes", [ld.FILTER_BYTES, -1])
-def test_messy_rows_with_and_without_filters(spark, messy, filter_bytes):
+def test_messy_rows_with_filters_everywhere_or_by_shard(spark, messy, filter_bytes):
     state = ld.insert(ld.empty_state(spark), messy)
     assert got(ld.drop_lines(state, messy, filter_bytes=filter_bytes)) == expected(messy.collect())
 
 
+@pytest.mark.parametrize("filter_bytes", [ld.FILTER_BYTES, -1])
+def test_many_shards_and_a_line_in_a_third_of_all_places(spark, monkeypatch, filter_bytes):
+    monkeypatch.setattr(ld, "SHARD_KEYS", 8)
+    monkeypatch.setattr(ld, "PART_LINES", 50)
+    hot = "a line that very many documents share"
+    rows = [(d, "\n".join([hot, f"the {d // 4} of some long lines", f"only {d} has this long line"])) for d in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    state = ld.insert(ld.insert(ld.empty_state(spark), docs.where("doc_id < 100")), docs.where("doc_id >= 100"))
+    assert {r.shards for r in state.filters.collect()} == {32}
+    assert frequent(state) >= {k for k, n, _ in refs(state) if n >= 3}
+    lines = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", F.col("text").cast("binary").alias("text"))
+    lines = lines.mapInArrow(ld._probe(20, None), ld.LINES_DDL)
+    known = ld._probe_by_shard(lines, state.filters, 32)
+    assert lines.count() == 2_700 and 1_800 <= known.count() < 1_900
+    assert got(ld.drop_lines(state, docs, filter_bytes=filter_bytes)) == expected(docs.collect())
+    less = ld.delete(state, docs.where("doc_id % 2 = 1"))
+    some = docs.where("doc_id % 2 = 0")
+    assert got(ld.drop_lines(less, some, filter_bytes=filter_bytes)) == expected(some.collect())
+
+
 def test_empty_table(spark, empty, messy):
     state = ld.insert(ld.empty_state(spark), empty)
     assert ld.drop_lines(state, empty).collect() == []
@@ -57,9 +78,10 @@ def refs(state):
 
 def frequent(state):
     found = set()
-    filters = {r.shard: ld.CuckooFilter.from_bytes(bytes(r.cells)) for r in state.filters.collect()}
+    rows = state.filters.collect()
+    filters = {r.shard: ld.CuckooFilter.from_bytes(bytes(r.cells)) for r in rows}
     for key, *_ in refs(state):
-        shard = key[15] % ld.SHARDS
+        shard = int.from_bytes(key[12:]) % rows[0].shards if rows else 0
         if shard in filters and filters[shard].contains(ld.key_hashes([key]))[0]:
             found.add(key)
     return found
