@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from cubeloom.llm.common import WORD, text_of
+from cubeloom.llm.common import SPACE_CLASS, WORD, text_of
 from cubeloom.session import materialize
 
 
@@ -273,8 +273,9 @@ def mixed_texts(
 ) -> DataFrame:
     """``docs`` as the mix has them: a row for each whole pass, one for the partial pass.
 
-    The partial pass holds the taken blocks in the order of the text, joined by a blank; a
-    document that the mix does not take has no row.
+    The partial pass holds the taken blocks in the order of the text as they stand there: a word
+    keeps the white space after it, the first word also that before it, so a text of which all
+    blocks are taken is unchanged.  A document that the mix does not take has no row.
     """
     # written with its row numbers: a document of the mix is found by its number
     frozen = materialize(docs.withColumn("__mix_row", F.monotonically_increasing_id()), "mix-docs")
@@ -284,11 +285,12 @@ def mixed_texts(
         F.col("blocks").alias("__mix_blocks"),
     )
     joined = frozen.join(taken, "__mix_row")
-    words = F.regexp_extract_all(text_of(text_col), F.lit(f"({WORD})"), 1)
+    spaced = rf"((?:\A[{SPACE_CLASS}]+)?{WORD}[{SPACE_CLASS}]*)"
+    words = F.regexp_extract_all(text_of(text_col), F.lit(spaced), 1)
 
     def cut(all_words: Column) -> Column:
         return F.concat_ws(
-            " ",
+            "",
             F.flatten(
                 F.transform(
                     "__mix_blocks",

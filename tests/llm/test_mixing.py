@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from cubeloom.llm.mixing import MixPlan, mix, mixed_texts, sainte_lague, source_targets
@@ -80,6 +82,24 @@ def test_texts_of_the_mix_hold_the_words_taken(messy):
     assert got == sum(r.taken for r in mix(messy, plan).collect())
 
 
+def test_texts_of_the_mix_keep_their_spacing(spark):
+    rows = [(i, f" \n{i}" + "".join(f" \t\nw{j}" + " " * (j % 3) for j in range(17 + i)), "abc"[i % 3]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = MixPlan(block_words=8)
+    want = []
+    for r in mix(docs, plan).collect():
+        text = rows[r.doc_id][1]
+        starts = [0, *[m.start() for m in re.finditer(r"[^ \t-\r]+", text)][1:], len(text)]
+        want += [(r.doc_id, text)] * r.passes
+        if r.blocks:
+            cuts = [(b.block * 8, b.block * 8 + b.words) for b in r.blocks]
+            want.append((r.doc_id, "".join(text[starts[a] : starts[b]] for a, b in cuts)))
+    got = sorted((r.doc_id, r.text) for r in mixed_texts(docs, plan).collect())
+    assert got == sorted(want)
+    texts = {t for _, t, _ in rows}
+    assert {t in texts for _, t in got} == {True, False}
+
+
 def test_empty_table(empty):
     assert mix(empty).collect() == []
     assert mixed_texts(empty).collect() == []
