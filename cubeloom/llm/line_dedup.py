@@ -9,12 +9,11 @@ The state has three tables in the shared folder:
 
 ``insert`` and ``delete`` change postings and counts exactly and move into or out of the
 filters only the keys that cross the threshold, so deleting what was inserted gives the
-state back.  ``drop_lines`` probes the filters first: a line that no filter knows is surely
-not frequent and never leaves its task.  The rest is decided by a join with the exact table,
-so a false positive of a filter costs a row in a shuffle and never a wrong result.  Filters
-go to all tasks while their measured size is within ``FILTER_BYTES``; beyond it, lines and
-filters meet by shard, and a shard with many lines (one line may fill the corpus) is cut into
-parts that each get its filter.
+state back.  ``drop_lines`` probes the filters first: eligible lines and filters meet by shard,
+and a shard with many lines (one line may fill the corpus) is cut into parts that each get its
+filter.  A line that its filter does not know is surely not frequent and goes no further.  The
+rest is decided by a join with the exact table, so a false positive of a filter costs a row in
+a shuffle and never a wrong result.
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubeloom.llm.common import Shared, keyed_texts, tidy
+from cubeloom.llm.common import keyed_texts, tidy
 from cubeloom.session import materialize
 
 MIN_CHARS = 20
@@ -36,7 +35,6 @@ MIN_DOCS = 3
 SHARDS = 16  # at least
 SHARD_KEYS = 1 << 18  # frequent keys of a shard when filters are built, half of what it may get
 PART_LINES = 1 << 20  # of a shard that meet its filter in one task
-FILTER_BYTES = 32 << 20
 SLOTS = 4
 LOAD = 0.5  # of a new filter, so that it takes as many keys again
 
@@ -166,12 +164,11 @@ def _postings(min_chars: int):
     return run
 
 
-def _probe(min_chars: int, filters):
-    """Lines that the filters know; without filters every eligible line."""
+def _eligible(min_chars: int):
+    """Every line whose key has enough code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tidy()
-        whole = CuckooSet(*filters.value) if filters is not None else None
         for rows in batches:
             row_keys, owners, places, keys = [], [], [], []
             for row_key, doc_id, text in zip(
@@ -182,11 +179,6 @@ def _probe(min_chars: int, filters):
                     owners.append(doc_id)
                     places.append(position)
                     keys.append(digest)
-            if whole is not None and keys:
-                keep = np.flatnonzero(whole.contains(keys))
-                row_keys, owners, places, keys = (
-                    [column[i] for i in keep] for column in (row_keys, owners, places, keys)
-                )
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(row_keys, pa.int64()),
@@ -200,25 +192,6 @@ def _probe(min_chars: int, filters):
     return run
 
 
-class CuckooSet:
-    """The filters of all shards in a task."""
-
-    def __init__(self, shards: int, tables: dict[int, bytes]):
-        self.shards = shards
-        self.filters = {shard: CuckooFilter.from_bytes(t) for shard, t in tables.items()}
-
-    def contains(self, keys: list[bytes]) -> np.ndarray:
-        hashes = key_hashes(keys)
-        shards = np.frombuffer(b"".join(keys), ">u4")[3::4] % self.shards
-        order = np.argsort(shards, kind="stable")
-        present, starts = np.unique(shards[order], return_index=True)
-        found = np.zeros(len(hashes), bool)
-        for shard, own in zip(present.tolist(), np.split(order, starts[1:])):
-            if (one := self.filters.get(shard)) is not None:
-                found[own] = one.contains(hashes[own])
-        return found
-
-
 LINES_DDL = "row_key long, doc_id long, position int, key binary"
 
 
@@ -449,7 +422,6 @@ def drop_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    filter_bytes: int = FILTER_BYTES,
 ) -> DataFrame:
     """``docs`` with columns ``kept_text``, ``n_lines`` (before) and ``n_dropped`` added.
 
@@ -459,19 +431,11 @@ def drop_lines(
     of those three names are replaced; all others are passed on.
     """
     added = ["kept_text", "n_lines", "n_dropped"]
-    spark = docs.sparkSession
     frequent = state.refs.where(F.col("refs") >= state.min_docs).select("key", "keep_doc")
     texts = keyed_texts(docs, id_col, text_col)
     texts = texts.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", "text")
-    total = state.filters.agg(F.sum(F.octet_length("cells"))).first()[0] or 0
-    if total <= filter_bytes:
-        tables = {r.shard: (r.shards, bytes(r.cells)) for r in state.filters.collect()}
-        shards = max((n for n, _ in tables.values()), default=SHARDS)
-        filters = Shared(spark, (shards, {shard: cells for shard, (_, cells) in tables.items()}))
-        maybe = texts.mapInArrow(_probe(state.min_chars, filters), LINES_DDL)
-    else:
-        lines = texts.mapInArrow(_probe(state.min_chars, None), LINES_DDL)
-        maybe = _probe_by_shard(lines, state.filters, _shards(state.filters))
+    lines = texts.mapInArrow(_eligible(state.min_chars), LINES_DDL)
+    maybe = _probe_by_shard(lines, state.filters, _shards(state.filters))
     dropped = (
         maybe.join(frequent, "key")
         .where(~F.col("doc_id").eqNullSafe(F.col("keep_doc")))

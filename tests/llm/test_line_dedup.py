@@ -1,7 +1,6 @@
 from collections import defaultdict
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from cubeloom.llm import line_dedup as ld
@@ -40,14 +39,12 @@ def got(df):
     return sorted(((r.doc_id, r.kept_text, r.n_lines, r.n_dropped) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("filter_bytes", [ld.FILTER_BYTES, -1])
-def test_messy_rows_with_filters_everywhere_or_by_shard(spark, messy, filter_bytes):
+def test_messy_rows(spark, messy):
     state = ld.insert(ld.empty_state(spark), messy)
-    assert got(ld.drop_lines(state, messy, filter_bytes=filter_bytes)) == expected(messy.collect())
+    assert got(ld.drop_lines(state, messy)) == expected(messy.collect())
 
 
-@pytest.mark.parametrize("filter_bytes", [ld.FILTER_BYTES, -1])
-def test_many_shards_and_a_line_in_a_third_of_all_places(spark, monkeypatch, filter_bytes):
+def test_many_shards_and_a_line_in_a_third_of_all_places(spark, monkeypatch):
     monkeypatch.setattr(ld, "SHARD_KEYS", 8)
     monkeypatch.setattr(ld, "PART_LINES", 50)
     hot = "a line that very many documents share"
@@ -57,13 +54,13 @@ def test_many_shards_and_a_line_in_a_third_of_all_places(spark, monkeypatch, fil
     assert {r.shards for r in state.filters.collect()} == {32}
     assert frequent(state) >= {k for k, n, _ in refs(state) if n >= 3}
     lines = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", F.col("text").cast("binary").alias("text"))
-    lines = lines.mapInArrow(ld._probe(20, None), ld.LINES_DDL)
+    lines = lines.mapInArrow(ld._eligible(20), ld.LINES_DDL)
     known = ld._probe_by_shard(lines, state.filters, 32)
     assert lines.count() == 2_700 and 1_800 <= known.count() < 1_900
-    assert got(ld.drop_lines(state, docs, filter_bytes=filter_bytes)) == expected(docs.collect())
+    assert got(ld.drop_lines(state, docs)) == expected(docs.collect())
     less = ld.delete(state, docs.where("doc_id % 2 = 1"))
     some = docs.where("doc_id % 2 = 0")
-    assert got(ld.drop_lines(less, some, filter_bytes=filter_bytes)) == expected(some.collect())
+    assert got(ld.drop_lines(less, some)) == expected(some.collect())
 
 
 def test_empty_table(spark, empty, messy):
