@@ -13,7 +13,7 @@ from cubeloom.operators.audit import fact_constraint_violations, light_period_au
 from cubeloom.operators.cube import cube_aggregate
 from cubeloom.operators.normalize import fact_defaults
 from cubeloom.plans import series
-from cubeloom.session import fresh_path
+from cubeloom.session import fresh_path, materialize
 from cubeloom.sources.tables import PeriodHistory, read_period_table, write_csv, write_parquet
 from cubeloom.spec import DEFAULT_SPEC as SPEC
 from cubeloom.workload.cube_queries import P, rows_with
@@ -223,6 +223,11 @@ def _cube(spark, sf):
     return cube_aggregate(star_cube(spark, sf))
 
 
+def _stored_cube(spark, sf):
+    """Aggregated once, for queries that deliver it more than once."""
+    return materialize(_cube(spark, sf), "cube")
+
+
 _STORED = f"SELECT {P}, count(*) AS n, SUM(ta) AS ta, SUM(masa_sal_ta) AS m FROM cube GROUP BY 1"
 
 
@@ -240,7 +245,7 @@ _STORED = f"SELECT {P}, count(*) AS n, SUM(ta) AS ta, SUM(masa_sal_ta) AS m FROM
 def insert_only_history(spark, sf):
     """Publish the months before 1998, then all: the old ones stay, the new ones are added."""
     history = PeriodHistory(spark, fresh_path(spark, "history"))
-    cube = _cube(spark, sf)
+    cube = _stored_cube(spark, sf)
     history.publish(cube.filter(F.col(P) < "1998-01"))
     results, _ = history.publish(cube)
     stored = history.read().groupBy(P).agg(
@@ -271,7 +276,7 @@ def insert_only_history(spark, sf):
 )
 def publish_post_checks(spark, sf):
     history = PeriodHistory(spark, fresh_path(spark, "history"))
-    cube = _cube(spark, sf)
+    cube = _stored_cube(spark, sf)
     history.publish(cube.filter(F.col(P) < "1999"))
     return history.publish_checked(cube)
 
@@ -296,7 +301,7 @@ _BLOCKED = f"""SELECT {P}, {{before}} AS rows_before, {big("0", "rows_inserted")
 def publish_column_guard(spark, sf):
     """The same columns in another order: a guarded publish blocks all months, new and known."""
     history = PeriodHistory(spark, fresh_path(spark, "history"))
-    cube = _cube(spark, sf)
+    cube = _stored_cube(spark, sf)
     history.publish(cube.filter(F.col(P) < "1999"))
     swapped = cube.select(*cube.columns[:-2], cube.columns[-1], cube.columns[-2])
     return history.publish_checked(swapped.filter(F.col(P) >= "1998"))
@@ -317,7 +322,7 @@ def publish_column_guard(spark, sf):
 def publish_header_guard(spark, sf):
     """A delivery whose CSV files were joined with their header lines is blocked whole."""
     history = PeriodHistory(spark, fresh_path(spark, "history"))
-    cube, path = _cube(spark, sf), fresh_path(spark, "delivery")
+    cube, path = _stored_cube(spark, sf), fresh_path(spark, "delivery")
     history.publish(cube.filter(F.col(P) < "1998"))
     write_csv(cube.filter(F.col(P) >= "1999"), path)
     # read as text without a header, so the header line of every file is a row
