@@ -19,7 +19,7 @@ from cubeloom.functions.numbers import (
     total,
     units,
 )
-from cubeloom.operators.normalize import cube_rows
+from cubeloom.operators.normalize import derived_sums, measure_rows
 from cubeloom.spec import DEFAULT_SPEC, CubeSpec
 
 
@@ -47,11 +47,26 @@ def difference_columns(spec: CubeSpec = DEFAULT_SPEC) -> dict[str, Column]:
     }
 
 
+SPREAD = "_spread"
+
+
+def by_key(rows: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """Numeric rows dealt by a hash of the key, which :func:`sum_to_cube` takes."""
+    return rows.withColumn(SPREAD, F.xxhash64(*spec.keys)).repartition(SPREAD)
+
+
 def sum_to_cube(rows: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
-    """Group numeric rows by the key; null is a group, an all-null sum stays null."""
+    """Group numeric rows by the key; null is a group, an all-null sum stays null.
+
+    A key has hardly more rows than one, so a hash map would hold a wide buffer of sums for each
+    row and end in spills.  The rows, which are narrow, are sorted instead, by the hash first.
+    The period comes back as an aggregate: Spark sums sorted runs when one of them is a text.
+    """
     others = {c: f"_rest_{c}" for c in spec.sums}
     marked = rows.select("*", rests([F.col(c) for c in spec.sums]).alias("_rests"))
-    sums = marked.groupBy(*spec.keys).agg(
+    own = [k for k in spec.keys if k != spec.period]
+    sums = marked.groupBy(SPREAD, F.col(spec.period).alias("_period"), *own).agg(
+        F.first(spec.period).alias(spec.period),
         *[F.sum(units(F.col(c))).alias(c) for c in spec.sums],
         *[F.sum(F.col("_rests")[i]).alias(n) for i, n in enumerate(others.values())],
     )
@@ -77,13 +92,13 @@ def sum_to_cube(rows: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
 
 def cube_aggregate(raw: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Raw rows to the cube: normalise, cast, derive, group (null is a group), ratios, differences."""
-    return sum_to_cube(cube_rows(raw, spec), spec)
+    return sum_to_cube(derived_sums(by_key(measure_rows(raw, spec), spec), spec), spec)
 
 
 def merge_cubes(*cubes: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     """Partial cubes to one; columns are matched by name and ratios recomputed from the sums."""
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cubes)
-    return sum_to_cube(union.select(*spec.keys, *spec.sums), spec)
+    return sum_to_cube(by_key(union.select(*spec.keys, *spec.sums), spec), spec)
 
 
 def with_run_columns(cube: DataFrame, source_label: str, timestamp: str) -> DataFrame:

@@ -110,14 +110,18 @@ def derived_sums(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
     )
 
 
-def cube_rows(raw: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
-    """Raw rows as key + numeric measures + derived sums, still one row per raw row."""
+def measure_rows(raw: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """Raw rows as key + numeric measures, still one row per raw row."""
     require_measures(raw, spec)
-    rows = raw.select(
+    return raw.select(
         *[key_expression(raw, k, spec) for k in spec.keys],
         *[number_column(raw, m).alias(m) for m in spec.measures],
     )
-    return derived_sums(rows, spec)
+
+
+def cube_rows(raw: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
+    """:func:`measure_rows` + derived sums."""
+    return derived_sums(measure_rows(raw, spec), spec)
 
 
 def fact_defaults(df: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:

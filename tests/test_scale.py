@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cubeloom.functions.numbers import rests
+from cubeloom.operators.cube import cube_aggregate, merge_cubes
 from cubeloom.session import METHOD_LIMIT, split_large_methods
 from cubeloom.sources.tables import PeriodHistory
+from cubeloom.spec import DEFAULT_SPEC as SPEC
 from cubeloom.workload import QUERIES
 from cubeloom.workload.star_cube import star_cube
 
@@ -50,3 +52,24 @@ def test_only_rows_with_a_value_beyond_units_carry_rests(spark):
     found = rows.select("i", rests([F.col("a"), F.col("b")]).alias("r")).orderBy("i").collect()
     texts = [r.r and [None if x is None else float(x) for x in r.r] for r in found]
     assert texts == [None, [0.12345, None], [None, 2e7]]
+
+
+def _sorted_sums(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "SortAggregate" in plan and "HashAggregate" not in plan
+
+
+def test_wide_sums_of_keys_are_made_in_sorted_runs_and_not_in_hash_maps(spark, text_frame, raw_row):
+    rows = [
+        raw_row(ta="10", masa_sal_ta="0.123456"),
+        raw_row(ta="5", masa_sal_ta="2"),
+        raw_row(ta="1", ptpd="<null>"),
+        raw_row(ta="2", ptpd="<null>"),
+        raw_row(ta="4", ptpd="0"),
+    ]
+    cube = cube_aggregate(text_frame(rows))
+    assert _sorted_sums(cube)
+    assert _sorted_sums(merge_cubes(cube.select(*SPEC.keys, *SPEC.sums).limit(9).localCheckpoint()))
+    found = {r.ptpd: (r.ta, r.masa_sal_ta) for r in cube.collect()}
+    assert found["0"][0] == 4.0 and found[None][0] == 3.0
+    assert (15.0, 2.123456) in found.values()
