@@ -51,7 +51,13 @@ def period_rollup(
 
     unit = [] if declared is None else [F.col(declared).alias("periodo")]
     plain, others = {m: f"{m}__units" for m in measures}, {m: f"{m}__rest" for m in measures}
-    per_key = cube.groupBy(*unit, *keys).agg(
+    own = [k for k in keys if k != spec.period]
+    month = [F.col(spec.period).alias("_period")] if spec.period in keys else []
+    # sorted by a hash, not held in a hash map: see sum_to_cube
+    named = [F.col(declared)] if unit else []
+    dealt = cube.withColumn("_spread", F.xxhash64(*named, *[F.col(k) for k in keys])).repartition("_spread")
+    per_key = dealt.groupBy("_spread", *unit, *month, *own).agg(
+        *([F.first(spec.period).alias(spec.period)] if month else []),
         F.count("*").alias("cnt"),
         *[F.sum(units(number_column(cube, m))).alias(n) for m, n in plain.items()],
         *[F.sum(rest(number_column(cube, m))).alias(n) for m, n in others.items()],

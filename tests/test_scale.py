@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cubeloom.functions.numbers import rests
 from cubeloom.operators.cube import cube_aggregate, merge_cubes
+from cubeloom.operators.history import period_rollup
 from cubeloom.session import METHOD_LIMIT, split_large_methods
 from cubeloom.sources.tables import PeriodHistory
 from cubeloom.spec import DEFAULT_SPEC as SPEC
@@ -73,3 +74,11 @@ def test_wide_sums_of_keys_are_made_in_sorted_runs_and_not_in_hash_maps(spark, t
     found = {r.ptpd: (r.ta, r.masa_sal_ta) for r in cube.collect()}
     assert found["0"][0] == 4.0 and found[None][0] == 3.0
     assert (15.0, 2.123456) in found.values()
+
+
+def test_a_period_rollup_sorts_its_keys_and_counts_null_keys(spark, text_frame, raw_row):
+    cube = cube_aggregate(text_frame([raw_row(), raw_row(ptpd="<null>")])).select(*SPEC.keys, *SPEC.sums)
+    twice = cube.unionByName(cube)
+    rollup = period_rollup(twice)
+    assert "SortAggregate" in rollup._jdf.queryExecution().executedPlan().toString()
+    assert [(r.filas, r.llaves, r.repetidas) for r in rollup.collect()] == [(4, 2, 4)]
