@@ -30,7 +30,10 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, 80 % in common; the smallest doc_id of a group stays."""
+    """Five-word shingles, 80 % in common; the smallest doc_id of a group stays.
+
+    Candidates meet under the pigeonring's chains and, farther apart, under bands of least hashes.
+    """
     return simhash_wide.keep_one(docs).select(*docs.columns)
 
 

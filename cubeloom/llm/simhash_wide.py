@@ -6,10 +6,12 @@ binomial terms; among all such sets at 80 % it is largest, 12 / 64, for 4 and 5
 tends to arccos(8 / 9) / pi, or 9.7 / 64, for long ones.  So more than 28 of 64 bits differ with a
 chance of 1.1e-6 at most (1.4e-8 from 50 shingles on), and more than 20 with 5e-3 (4e-4).
 
-Within such a radius no chain of segments is equal, so equality on a chain finds nothing and
-cannot be the key under which candidates meet.  Here they meet under *bands*: pairs of least
-hashes over the same shingles, which two texts share with probability similarity squared; with 12
-bands one pair in 200,000 at 80 % meets under none.
+Candidates meet under two kinds of keys.  The *chains* of the pigeonring, as in ``simhash``, find
+every pair of at most 2 differing bits: equal parts of a chain are the key, and pairs must keep
+the budget of each chain length before their Hamming distance is counted.  Within the wide radius
+no chain of segments is equal, so there they meet under *bands*: pairs of least hashes over the
+same shingles, which two texts share with probability similarity squared; with 12 bands one pair
+in 200,000 at 80 % meets under none.
 
 No pair of candidates is ever a row.  In a band's bucket, fingerprints (full Hamming check) and
 sizes of the sets part the members into *cells* that no possible link leaves; cells of several
@@ -31,12 +33,14 @@ from pyspark.sql import functions as F
 
 from cubeloom.llm.common import keyed_texts, shuffle_partitions, text_of, tidy
 from cubeloom.llm.components import connected_components
-from cubeloom.llm.simhash import BITS, shingle_hashes
+from cubeloom.llm.simhash import BITS, chain_keys, shingle_hashes, within_chain
 from cubeloom.session import materialize
 
 BANDS = 12
 ROWS = 2  # least hashes in a band
 MAX_BITS = 28  # lets a pair at 80 % go with a chance of 1.1e-6 at most, see below
+RING_BITS, SEGMENTS = 2, 8  # of the chains under which near fingerprints meet
+NO_CHAIN = -1  # the start of a key that is a band
 BUCKET = 2_048  # members of a bucket that fingerprints part into cells; larger ones are one cell
 CELL_SHINGLES = 3_000_000  # that a task compares at a time
 STRIP = 256  # members that are compared with all others in one matrix product
@@ -125,15 +129,23 @@ def _join_hits(labels: np.ndarray, rows: np.ndarray, columns: np.ndarray, hits:
         _join(labels, np.append(columns[hits[place]], rows[place]))
 
 
-def possible_cells(fps: np.ndarray, sizes: np.ndarray, max_bits: int, similarity: float) -> np.ndarray:
-    """A label per member; members of different labels cannot be linked."""
+def possible_cells(
+    fps: np.ndarray, sizes: np.ndarray, max_bits: int, similarity: float, start: int = NO_CHAIN
+) -> np.ndarray:
+    """A label per member; members of different labels cannot be linked.
+
+    With ``start`` the members met under a chain from there, and the pigeonring's budgets hold.
+    """
     labels = np.arange(len(fps))
     for lo in range(0, len(fps), STRIP):
         own = slice(lo, lo + STRIP)
-        bits = np.bitwise_count(fps[own, None] ^ fps[None, lo:])
+        differ = fps[own, None] ^ fps[None, lo:]
+        near = np.bitwise_count(differ) <= (max_bits if start == NO_CHAIN else RING_BITS)
+        if start != NO_CHAIN:
+            near &= within_chain(differ.ravel(), start, RING_BITS, SEGMENTS).reshape(differ.shape)
         low, high = np.minimum(sizes[own, None], sizes[lo:]), np.maximum(sizes[own, None], sizes[lo:])
         # sets that differ more in size cannot have so much in common
-        hits = (bits <= max_bits) & (low >= similarity * high - 1e-6)
+        hits = near & (low >= similarity * high - 1e-6)
         places = np.arange(lo, len(fps))
         _join_hits(labels, places[: len(hits)], places, hits)
     return labels
@@ -233,7 +245,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterato
 
 
 def _cells(max_bits: int, similarity: float):
-    """mapInArrow over rows sorted by band: (cell, node), cells of one member left out.
+    """mapInArrow over rows sorted by band and start: (cell, node), cells of one member left out.
 
     A bucket that grows beyond ``BUCKET`` goes on as a stream and is a cell as a whole.
     """
@@ -242,9 +254,9 @@ def _cells(max_bits: int, similarity: float):
     def told(cells: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(cells), pa.array(nodes)], schema=schema)
 
-    def part(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    def part(rows: pa.Table, start: int) -> Iterator[pa.RecordBatch]:
         nodes, fps, sizes = (rows.column(c).to_numpy() for c in ("node", "fp", "size"))
-        labels = possible_cells(fps.view(np.uint64), sizes, max_bits, similarity)
+        labels = possible_cells(fps.view(np.uint64), sizes, max_bits, similarity, start)
         held = np.bincount(labels, minlength=len(labels))[labels] > 1
         nodes, labels = nodes[held], labels[held]
         # the same members are the same cell, whatever band they met in
@@ -260,23 +272,23 @@ def _cells(max_bits: int, similarity: float):
 
         def close() -> Iterator[pa.RecordBatch]:
             if parts and not large and count > 1:
-                yield from part(pa.Table.from_batches(parts))
+                yield from part(pa.Table.from_batches(parts), key[1])
 
         for rows in batches:
             if not rows.num_rows:
                 continue
-            bands = rows.column("band").to_numpy()
-            cuts = [0, *(np.flatnonzero(bands[1:] != bands[:-1]) + 1), rows.num_rows]
+            keys = np.stack([rows.column(c).to_numpy() for c in ("band", "start")], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1), rows.num_rows]
             for lo, hi in zip(cuts, cuts[1:]):
-                if bands[lo] != key:
+                if (own_key := tuple(keys[lo].tolist())) != key:
                     yield from close()
-                    key, parts, count, large = bands[lo], [], 0, False
+                    key, parts, count, large = own_key, [], 0, False
                 parts.append(rows.slice(lo, hi - lo))
                 count += hi - lo
                 if count > BUCKET:
                     large = True
                     for own in parts:
-                        yield told(np.full(own.num_rows, key), own.column("node").to_numpy())
+                        yield told(np.full(own.num_rows, key[0]), own.column("node").to_numpy())
                     parts = []
         yield from close()
 
@@ -312,6 +324,25 @@ def _shingle_sets(size: int):
     return run
 
 
+def meeting_keys(nodes: DataFrame) -> DataFrame:
+    """(band, start, node, fp, size): every key under which a text can meet another.
+
+    ``start`` is where a key's chain begins on the ring, or NO_CHAIN for a band.
+    """
+    bands = nodes.select("node", "fp", "size", F.posexplode("bands").alias("number", "key")).select(
+        F.xxhash64("number", "key").alias("band"), F.lit(NO_CHAIN).cast("long").alias("start"), "node", "fp", "size"
+    )
+    keys = F.explode(chain_keys(F.col("fp"), RING_BITS, SEGMENTS)).alias("k")
+    chains = nodes.where("size > 0").select("node", "fp", "size", keys).select(
+        F.xxhash64("k.start", "k.pattern", "k.bits").alias("band"),
+        F.col("k.start").cast("long").alias("start"),
+        "node",
+        "fp",
+        "size",
+    )
+    return bands.unionByName(chains)
+
+
 def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text, mark): doc_id and mark, the text's hash, tell rows of different text apart."""
     return keyed_texts(docs, id_col, text_col).withColumn("mark", F.xxhash64("text"))
@@ -338,13 +369,11 @@ def _grouped_rows(
         ),
         "near-nodes",
     )
-    banded = nodes.select(
-        "node", "fp", "size", F.posexplode("bands").alias("number", "key")
-    ).select(F.xxhash64("number", "key").alias("band"), "node", "fp", "size")
     parts = shuffle_partitions(docs.sparkSession)
     cells = materialize(
-        banded.repartition(parts, "band")
-        .sortWithinPartitions("band", "node")
+        meeting_keys(nodes)
+        .repartition(parts, "band")
+        .sortWithinPartitions("band", "start", "node")
         .mapInArrow(_cells(max_bits, similarity), "cell long, node long")
         .distinct(),
         "near-cells",

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 
 from cubeloom.llm import simhash as sh
+from cubeloom.llm import simhash_wide as wide
 from cubeloom.llm.simhash_wide import keep_one, near_components, sketch, survives_ring
 
 
@@ -232,3 +233,19 @@ def test_a_crowd_just_below_the_similarity_leaves_few_links(n):
     want = plain_components(list(range(n)), lambda i, j: jaccard(*(set(sets[k].tolist()) for k in (i, j))) >= 0.8)
     labels = linked_sets(sets, 0.8)
     assert labels.tolist() == want and 1 < len(set(want)) < n
+
+
+def test_near_fingerprints_meet_under_chains_of_the_ring_without_a_common_band(spark):
+    """Two bits apart and no least hash in common: only the pigeonring's chains bring them together."""
+    nodes = spark.createDataFrame(
+        [(1, 0, [11, 12], 10), (2, (1 << 40) | 1, [21, 22], 10), (3, (1 << 62) - 1, [31, 32], 10)],
+        "node long, fp long, bands array<long>, size long",
+    )
+    cells = (
+        wide.meeting_keys(nodes)
+        .repartition(1, "band")
+        .sortWithinPartitions("band", "start", "node")
+        .mapInArrow(wide._cells(wide.MAX_BITS, 0.8), "cell long, node long")
+        .distinct()
+    )
+    assert sorted(r.node for r in cells.collect()) == [1, 2]
