@@ -449,7 +449,8 @@ _RIGHT = (
 )
 def set_difference_both(spark, sf):
     """Two files of one delivery over all keys and measures; what only one of them has, counted."""
-    rows = rows_with(spark, sf, SPEC.keys, SPEC.measures).select(*_WIDE)
+    # both files are made of these rows, which are joined once and read three times
+    rows = materialize(rows_with(spark, sf, SPEC.keys, SPEC.measures).select(*_WIDE), "delivery")
     line, jobs = F.col("no_trabajadores"), F.col("ta")
     left = rows.filter(line > 1).unionByName(rows.filter(jobs > 48)).withColumn("timestamp", F.lit("a"))
     dearer = F.col(P).startswith("1999-") & (jobs == 7)
