@@ -13,13 +13,13 @@ from cubeloom.operators import facts as L
 from cubeloom.operators import normalize as N
 from cubeloom.operators.cube import cube_aggregate
 from cubeloom.plans import marts
-from cubeloom.session import fresh_path
+from cubeloom.session import fresh_path, materialize, shuffles_freed
 from cubeloom.sources.tables import FactTables
 from cubeloom.spec import DEFAULT_SPEC as SPEC
 from cubeloom.workload.cube_queries import P
 from cubeloom.workload.oracle import big, dbl, listed, over
 from cubeloom.workload.registry import query
-from cubeloom.workload.star_cube import star_cube
+from cubeloom.workload.star_cube import placed_cube, star_cube
 
 MONTH = f"CAST(substring({P}, 6, 2) AS INT)"
 STAMP = "TIMESTAMP '2001-12-01 00:00:00'"
@@ -594,6 +594,12 @@ def batch_action_counts(spark, sf):
     return B.batch_action_counts(_plan(spark, sf))
 
 
+def _flagged(cube):
+    """Months with an even number lose their '0' flags."""
+    flag = F.when((F.expr(MONTH) % 2 == 0) & (F.col("ptpd") == "0"), "no_aplica")
+    return cube.withColumn("ptpd", F.coalesce(flag, "ptpd"))
+
+
 _PASSES = f"{P} < '2001' AND ({MONTH} % 2 = 0 OR count(*) FILTER (WHERE ptpd = '0') = 0)"
 
 
@@ -613,12 +619,11 @@ def control_lifecycle(spark, sf):
 
     Months with an odd number keep their '0' flags, which the checks refuse.
     """
-    flag = F.when((F.expr(MONTH) % 2 == 0) & (F.col("ptpd") == "0"), "no_aplica")
-    cube = cube_aggregate(star_cube(spark, sf)).withColumn("ptpd", F.coalesce(flag, "ptpd"))
+    cube = _flagged(placed_cube(spark, sf))
     tables = FactTables(spark, fresh_path(spark, "facts"))
     for _ in range(2):
         tables.register(_months(spark, sf), "run-1")
-        tables.load_staging(cube.filter(F.col(P) < "2001"), tables.control(), "run-1")
+        tables.load_staging(cube.filter(F.col(P) < "2001"), tables.control(), "run-1", placed=True)
         tables.promote(tables.control())
         tables.finalize("run-2")
     return tables.control().select(
@@ -630,10 +635,12 @@ _RUN_STATES = f"""SELECT 'run-' || {P} AS run_id, {P}, {P} < '2001' AS promoted,
 count(*) FILTER (WHERE ptpd = '0') = 0 OR {MONTH} % 2 = 0 AS clean, count(*) AS n FROM facts GROUP BY 2"""
 
 
-def _stored_facts(spark, sf):
-    """Months registered with a run each; those before 2001 staged, promoted and finalised; twice."""
-    flag = F.when((F.expr(MONTH) % 2 == 0) & (F.col("ptpd") == "0"), "no_aplica")
-    cube = cube_aggregate(star_cube(spark, sf)).withColumn("ptpd", F.coalesce(flag, "ptpd"))
+def _stored_facts(spark, sf, cube):
+    """Months registered with a run each; those before 2001 staged, promoted and finalised; twice.
+
+    The tasks of ``cube`` have few months each.
+    """
+    cube = _flagged(cube)
     tables = FactTables(spark, fresh_path(spark, "facts"))
     months = _months(spark, sf)
     runs = months.select(F.concat(F.lit("run-"), P).alias("run_id"), P)
@@ -641,7 +648,7 @@ def _stored_facts(spark, sf):
         tables.register(months, "run-1")
         # December runs are not registered
         tables.register_runs(runs.filter(F.expr(MONTH) != 12))
-        tables.load_staging(cube.filter(F.col(P) < "2001"), tables.control(), "run-1")
+        tables.load_staging(cube.filter(F.col(P) < "2001"), tables.control(), "run-1", placed=True)
         tables.promote(tables.control())
         tables.finalize("run-2")
         tables.finalize_runs()
@@ -664,7 +671,7 @@ def _stored_facts(spark, sf):
 )
 def manifest_lifecycle(spark, sf):
     """Stored runs after two rounds: each state once, the one before still inside and readable."""
-    tables = _stored_facts(spark, sf)
+    tables = _stored_facts(spark, sf, placed_cube(spark, sf))
     states = tables.manifest_log.read().groupBy("run_id").agg(F.count("*").alias("states"))
     first = tables.manifests(as_of=1).select("run_id", F.col("status").alias("status_before"))
     before = F.get_json_object("manifest_json", "$.previous_manifest_json")
@@ -703,7 +710,11 @@ def manifest_lifecycle(spark, sf):
 )
 def housekeeping_stored(spark, sf):
     """Which months may be archived, asked of the stored tables: counts and sums are in their logs."""
-    found = _stored_facts(spark, sf).housekeeping(cube_aggregate(star_cube(spark, sf)).select(P))
+    # staged and counted: aggregated once, with the columns that staging takes
+    wanted = placed_cube(spark, sf).select(*SPEC.keys, *SPEC.sums, *SPEC.fact_ratios)
+    with shuffles_freed(spark):
+        cube = materialize(wanted, "cube", partition_by=P)
+    found = _stored_facts(spark, sf, cube).housekeeping(cube.select(P))
     return found.select(
         P,
         "csv_rows_detected",

@@ -13,13 +13,14 @@ from cubeloom.operators.audit import fact_constraint_violations, light_period_au
 from cubeloom.operators.cube import cube_aggregate
 from cubeloom.operators.normalize import fact_defaults
 from cubeloom.plans import series
-from cubeloom.session import fresh_path, materialize
+from cubeloom.session import fresh_path, materialize, shuffles_freed
 from cubeloom.sources.tables import PeriodHistory, read_period_table, write_csv, write_parquet
 from cubeloom.spec import DEFAULT_SPEC as SPEC
 from cubeloom.workload.cube_queries import P, rows_with
+from cubeloom.workload.landing import FILE_ROWS
 from cubeloom.workload.oracle import big, dbl, listed, over
 from cubeloom.workload.registry import query
-from cubeloom.workload.star_cube import star_cube
+from cubeloom.workload.star_cube import placed_cube, star_cube
 
 _FINGERPRINTED = (*SPEC.fingerprint_counts, *SPEC.fingerprint_amounts)
 
@@ -225,7 +226,8 @@ def _cube(spark, sf):
 
 def _stored_cube(spark, sf):
     """Aggregated once, for queries that deliver it more than once."""
-    return materialize(_cube(spark, sf), "cube")
+    with shuffles_freed(spark):
+        return materialize(placed_cube(spark, sf), "cube", partition_by=P)
 
 
 _STORED = f"SELECT {P}, count(*) AS n, SUM(ta) AS ta, SUM(masa_sal_ta) AS m FROM cube GROUP BY 1"
@@ -246,8 +248,8 @@ def insert_only_history(spark, sf):
     """Publish the months before 1998, then all: the old ones stay, the new ones are added."""
     history = PeriodHistory(spark, fresh_path(spark, "history"))
     cube = _stored_cube(spark, sf)
-    history.publish(cube.filter(F.col(P) < "1998-01"))
-    results, _ = history.publish(cube)
+    history.publish(cube.filter(F.col(P) < "1998-01"), placed=True)
+    results, _ = history.publish(cube, placed=True)
     stored = history.read().groupBy(P).agg(
         F.count("*").alias("rows_in_history"),
         exact_sum(F.col("ta")).alias("ta"),
@@ -277,8 +279,8 @@ def insert_only_history(spark, sf):
 def publish_post_checks(spark, sf):
     history = PeriodHistory(spark, fresh_path(spark, "history"))
     cube = _stored_cube(spark, sf)
-    history.publish(cube.filter(F.col(P) < "1999"))
-    return history.publish_checked(cube)
+    history.publish(cube.filter(F.col(P) < "1999"), placed=True)
+    return history.publish_checked(cube, placed=True)
 
 
 _BLOCKED = f"""SELECT {P}, {{before}} AS rows_before, {big("0", "rows_inserted")},
@@ -301,10 +303,10 @@ _BLOCKED = f"""SELECT {P}, {{before}} AS rows_before, {big("0", "rows_inserted")
 def publish_column_guard(spark, sf):
     """The same columns in another order: a guarded publish blocks all months, new and known."""
     history = PeriodHistory(spark, fresh_path(spark, "history"))
-    cube = _cube(spark, sf)
-    history.publish(cube.filter(F.col(P) < "1999"))
+    cube = placed_cube(spark, sf)
+    history.publish(cube.filter(F.col(P) < "1999"), placed=True)
     swapped = cube.select(*cube.columns[:-2], cube.columns[-1], cube.columns[-2])
-    return history.publish_checked(swapped.filter(F.col(P) >= "1998"))
+    return history.publish_checked(swapped.filter(F.col(P) >= "1998"), placed=True)
 
 
 @query(
@@ -322,13 +324,13 @@ def publish_column_guard(spark, sf):
 def publish_header_guard(spark, sf):
     """A delivery whose CSV files were joined with their header lines is blocked whole."""
     history = PeriodHistory(spark, fresh_path(spark, "history"))
-    cube, path = _cube(spark, sf), fresh_path(spark, "delivery")
-    history.publish(cube.filter(F.col(P) < "1998"))
-    write_csv(cube.filter(F.col(P) >= "1999"), path)
+    cube, path = placed_cube(spark, sf), fresh_path(spark, "delivery")
+    history.publish(cube.filter(F.col(P) < "1998"), placed=True)
+    write_csv(cube.filter(F.col(P) >= "1999"), path, file_rows=FILE_ROWS)
     # read as text without a header, so the header line of every file is a row
     texts = ", ".join(f"`{c}` string" for c in cube.columns)
     delivery = spark.read.schema(texts).csv(path, escape='"')
-    blocked = history.publish_checked(delivery)
+    blocked = history.publish_checked(delivery, placed=True)
     stored = history.read().groupBy(P).agg(F.count("*").alias("n"))
     kept = stored.select(
         P,
@@ -353,7 +355,7 @@ def publish_header_guard(spark, sf):
 def stored_snapshot(spark, sf):
     """The last month of a published history: its name is in the log, only its folder is read."""
     history = PeriodHistory(spark, fresh_path(spark, "history"))
-    history.publish(_cube(spark, sf))
+    history.publish(placed_cube(spark, sf), placed=True)
     return series.latest_snapshot(history.read_last(), "ta", ["cve_entidad", "sexo"])
 
 
@@ -372,7 +374,7 @@ _SCANNED = (*SPEC.keys, "ta", "masa_sal_ta", "sbc_total")
 def history_period_scan(spark, sf):
     """One month of a period-partitioned table: the scan opens its folder only."""
     path = fresh_path(spark, "periods")
-    write_parquet(_cube(spark, sf).hint("rebalance", F.col(P)), path, partition_by=P)
+    write_parquet(placed_cube(spark, sf), path, partition_by=P)
     return read_period_table(spark, path, "1998-06-30").select(*_SCANNED)
 
 
