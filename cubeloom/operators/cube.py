@@ -97,18 +97,19 @@ def sum_to_cube(rows: DataFrame, spec: CubeSpec = DEFAULT_SPEC) -> DataFrame:
 
     A key has hardly more rows than one, so a hash map would hold a wide buffer of sums for each
     row and end in spills.  The rows, which are narrow, are sorted instead, by the hash first.
-    The period comes back as an aggregate: Spark sums sorted runs when one of them is a text.
+    One aggregate is an empty text, as Spark sums sorted runs when one of them is a text.  The
+    period is a key, so a filter on it reaches the rows before they are shuffled.
     """
     marked = rows.select("*", rests([F.col(c) for c in spec.sums]).alias("_rests"))
     own = [KEY, *[k for k in spec.keys if k in rows.columns and k != spec.period]]
     texts = [k for k in spec.keys if k not in rows.columns]
     share = [SHARE] if SHARE in rows.columns else []
-    sums = marked.groupBy(SPREAD, *share, F.col(spec.period).alias("_period"), *own).agg(
-        F.first(spec.period).alias(spec.period),
+    sums = marked.groupBy(SPREAD, *share, spec.period, *own).agg(
+        F.first(F.lit("")).alias("_none"),
         *[F.sum(units(F.col(c))).alias(c) for c in spec.sums],
         *[F.sum(F.col("_rests")[i]).alias(n) for i, n in enumerate(_rest_names(spec).values())],
     )
-    split = sums.withColumn("_texts", F.split(KEY, BETWEEN, -1))
+    split = sums.withColumn("_texts", F.split(F.concat(KEY, "_none"), BETWEEN, -1))
     parted = zip(texts, parted_texts(F.col("_texts"), len(texts)))
     return _of_units(split.withColumns(dict(parted)) if texts else sums, spec)
 

@@ -57,6 +57,16 @@ def test_the_texts_of_a_key_travel_as_one(text_frame, raw_row, shares):
     assert rows_of(merge_cubes(sums, sums.limit(0), shares=shares).select(*sums.columns)) == rows_of(sums)
 
 
+def test_a_filter_on_the_period_reaches_the_rows_before_their_shuffle(spark, sf_dir, text_frame, raw_row):
+    path = fresh_path(spark, "raw")
+    text_frame([raw_row(), raw_row(**{P: "2025-02-28"})]).write.parquet(path)
+    cube = cube_aggregate(spark.read.parquet(path)).where(F.col(P) < "2025-02")
+    text = plan(cube)
+    assert "SortAggregate" in text and "Filter" not in text.split("Exchange")[0]
+    assert "Filter" in text.split("Exchange")[1]
+    assert [r[P] for r in cube.collect()] == ["2025-01-31"]
+
+
 def _odd_cube(text_frame, raw_row):
     rows = [raw_row(ta="0.123456"), raw_row(ta="5", ptpd="0"), raw_row(ta="<null>", sexo="<null>", ptpd="2")]
     rows += [raw_row(**{P: "2025-02-28"}, sexo=s, rango_edad=e) for s, e in (("<null>", "7"), ("7", "<null>"))]
